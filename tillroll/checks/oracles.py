@@ -26,7 +26,8 @@ lines AS (
   LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey
 ),
-priced AS (SELECT *, round(quantity * price, 2) AS revenue FROM lines),
+-- "+ 0.0" turns the -0.0 of a returned free line into 0.0, the value Spark's round gives
+priced AS (SELECT *, round(quantity * price, 2) + 0.0 AS revenue FROM lines),
 clean AS (
   SELECT * FROM priced
   WHERE quantity IS NOT NULL AND price IS NOT NULL AND country IS NOT NULL
@@ -56,7 +57,7 @@ SELECT * REPLACE (CASE WHEN price IS NOT NULL THEN invoice_ts END AS invoice_ts)
 """
 ORACLES["clean_lines"] = f"WITH {_LINES} SELECT * FROM clean"
 ORACLES["line_revenue"] = f"""
-WITH {_LINES} SELECT invoice_no, stock_code, quantity, price, revenue FROM priced
+WITH {_LINES} SELECT invoice_no, stock_code, price, revenue FROM priced
 """
 ORACLES["country_revenue"] = f"WITH {_LINES} {_COUNTRY}"
 ORACLES["monthly_revenue"] = f"WITH {_LINES} {_MONTH} LIMIT 12"

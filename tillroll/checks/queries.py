@@ -61,7 +61,7 @@ def clean_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("line_revenue")
 def line_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.retail_lines(spark, sf_dir).transform(normalize_columns)
-    return lines.select("invoice_no", "stock_code", "quantity", "price", "revenue")
+    return lines.select("invoice_no", "stock_code", "price", "revenue")
 
 
 @query("country_revenue")
@@ -139,20 +139,17 @@ def serial_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = sheets.resolve_cells(
+def _resolved_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheets.resolve_cells(
         views.sheet_cells(spark, sf_dir),
         sheets.assemble_strings(views.string_runs(spark, sf_dir)),
         sheets.date_styles(*views.order_styles(spark, sf_dir)),
     )
-    return sheets.rows_from_cells(resolved)
 
 
 @query("cells_to_rows")
 def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _sheet_rows(spark, sf_dir)
-    names = [f"c{i}" for i in range(6)]
-    return sheets.columns_from_rows(rows, names, keep=["workbook", "part", "row_no"])
+    return sheets.columns_from_cells(_resolved_cells(spark, sf_dir), 6)
 
 
 @query("ragged_rows")
@@ -172,8 +169,7 @@ def sheet_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sheet_union")
 def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = sheets.sheet_catalog(*views.sheet_relations(spark, sf_dir))
-    rows = sheets.name_sheets(_sheet_rows(spark, sf_dir), catalog)
-    return sheets.union_sheets(rows, sheets.header_names(rows))
+    return sheets.union_sheets(_resolved_cells(spark, sf_dir), catalog)
 
 
 # --- run metrics --------------------------------------------------------------

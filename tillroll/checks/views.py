@@ -115,9 +115,10 @@ def _cell(letter, row, t=None, s=0, raw=None, inline=None):
 
 
 def _exploded_cells(rows: DataFrame, cells) -> DataFrame:
-    return rows.select(
-        "workbook", "part", "row_no", F.posexplode(cells).alias("cell_no", "cell")
-    ).select("workbook", "part", "row_no", "cell_no", "cell.*")
+    placed = rows.select("workbook", "part", "row_no", F.posexplode(cells).alias("cell_no", "cell"))
+    return placed.filter(F.col("cell").isNotNull()).select(
+        "workbook", "part", "row_no", "cell_no", "cell.*"
+    )
 
 
 def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +156,7 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[_cell(letter, row, t="inlineStr", inline=names[i]) for i, letter in enumerate("ABCDE")]
     )
     head = heads.withColumn("part", _part(F.col("sheet_no")))
-    return _exploded_cells(body, F.array_compact(cells)).unionByName(
+    return _exploded_cells(body, cells).unionByName(
         _exploded_cells(head, head_cells)
     )
 

@@ -19,16 +19,34 @@ MICROS_PER_DAY = 86_400_000_000
 def column_index(ref: Column) -> Column:
     """Zero-based column of a cell reference: `A1` is 0, `AA10` is 26.
 
-    A reference without leading capitals fails the job; null stays null.
+    A reference without leading capitals fails the job; null stays null. Up to
+    three letters, all the file format has columns for, are spelled out; only
+    longer ones take the slower regular expression and fold.
     """
-    letters = F.regexp_extract(ref, "^([A-Z]+)", 1)
-    number = F.aggregate(
-        F.split(letters, ""),
+
+    def code(position: int) -> Column:
+        return F.ascii(F.substring(ref, position, 1))
+
+    def is_letter(position: int) -> Column:
+        return code(position).between(65, 90)
+
+    def digit(position: int) -> Column:
+        return code(position) - 64
+
+    longer = F.aggregate(
+        F.split(F.regexp_extract(ref, "^([A-Z]+)", 1), ""),
         F.lit(0),
-        lambda total, letter: total * 26 + F.ascii(letter) - F.ascii(F.lit("A")) + 1,
+        lambda total, letter: total * 26 + F.ascii(letter) - 64,
     )
     problem = F.raise_error(F.concat(F.lit("Unexpected cell reference: "), ref))
-    return F.when(letters == "", problem.cast("int")).when(ref.isNotNull(), number - 1)
+    return F.when(
+        ref.isNotNull(),
+        F.when(~is_letter(1), problem.cast("int"))
+        .when(~is_letter(2), digit(1) - 1)
+        .when(~is_letter(3), digit(1) * 26 + digit(2) - 1)
+        .when(~is_letter(4), digit(1) * 676 + digit(2) * 26 + digit(3) - 1)
+        .otherwise(longer - 1),
+    )
 
 
 def is_date_code(code: Column) -> Column:
@@ -42,11 +60,11 @@ def serial_to_timestamp(serial: Column) -> Column:
     Null outside the years 1 to 9999. Whole days and the rest are taken apart
     first: the rest alone fits a double to far below a microsecond.
     """
-    serial = F.when((serial >= FIRST_SERIAL) & (serial < END_SERIAL), serial)
     days = F.floor(serial)
     rest = F.rint((serial - days) * F.lit(float(MICROS_PER_DAY))).cast("bigint")
     micros = days.cast("bigint") * F.lit(MICROS_PER_DAY) + rest
-    return F.timestamp_add("MICROSECOND", micros, F.lit(DAY_ZERO).cast("timestamp_ntz"))
+    moment = F.timestamp_add("MICROSECOND", micros, F.lit(DAY_ZERO).cast("timestamp_ntz"))
+    return F.when((serial >= FIRST_SERIAL) & (serial < END_SERIAL), moment)
 
 
 def timestamp_text(ts: Column) -> Column:

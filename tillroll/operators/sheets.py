@@ -12,7 +12,8 @@ from tillroll.functions.sheet import (
     column_index,
     fit_width,
     is_date_code,
-    serial_to_text,
+    serial_to_timestamp,
+    timestamp_text,
 )
 from tillroll.schemas import SHEET_COLUMN
 
@@ -24,6 +25,9 @@ FIRST_ROW = 1
 _SALTS = 16
 # Cells without a lookup get one of this many keys that match nothing.
 _IDLE_KEYS = 1 << 20
+# Beyond this width a row is assembled as an array instead of column by column.
+_PIVOT_WIDTH = 200
+_POSITION = ["workbook", "sheet_no", "row_no"]
 
 
 def assemble_strings(runs: DataFrame) -> DataFrame:
@@ -77,7 +81,7 @@ def _copies() -> Column:
 
 
 def resolve_cells(cells: DataFrame, strings: DataFrame, date_styles: DataFrame) -> DataFrame:
-    """Adds `col` and the text `value` of each cell.
+    """`(workbook, part, row_no, cell_no, col, value)`: column and text of each cell.
 
     Both lookups, shared string by index and date style by style number, are
     one left join, since a cell needs at most one of them. Skew: style lookups
@@ -115,20 +119,26 @@ def resolve_cells(cells: DataFrame, strings: DataFrame, date_styles: DataFrame)
         .alias("key"),
         F.when(by_style, _deal("row_no")).otherwise(0).alias("salt"),
     )
-    problem = F.raise_error(F.concat(F.lit("No shared string "), F.col("raw")))
+    found = keyed.join(lookup, ["workbook", "kind", "key", "salt"], "left")
+    # steps of their own, so that each is computed once per cell
+    serial = F.when(by_style & F.col("found").isNotNull(), F.col("raw").try_cast("double"))
+    moments = found.withColumn("serial", serial).withColumn(
+        "moment", serial_to_timestamp(F.col("serial"))
+    )
+    no_string = F.raise_error(F.concat(F.lit("No shared string "), F.col("raw"))).cast("string")
     text = (
-        F.when(by_index, F.coalesce(F.col("found"), problem.cast("string")))
+        F.when(by_index, F.coalesce(F.col("found"), no_string))
         .when(by_text, F.col("inline"))
-        .when(~has_raw, "")
         # text under a date style is no serial number and stays as it is
-        .when(
-            F.col("found").isNotNull(),
-            F.coalesce(serial_to_text(F.col("raw").try_cast("double")), F.col("raw")),
-        )
-        .otherwise(F.col("raw"))
+        .otherwise(F.coalesce(timestamp_text(F.col("moment")), F.col("raw"), F.lit("")))
     )
-    return keyed.join(lookup, ["workbook", "kind", "key", "salt"], "left").select(
-        *cells.columns, column_index(F.col("ref")).alias("col"), text.alias("value")
+    return moments.select(
+        "workbook",
+        "part",
+        "row_no",
+        "cell_no",
+        column_index(F.col("ref")).alias("col"),
+        text.alias("value"),
     )
 
 
@@ -144,22 +154,37 @@ def rows_from_cells(resolved: DataFrame) -> DataFrame:
     cells = F.sort_array(
         F.collect_list(F.when(F.col("col").isNotNull(), F.struct("col", "cell_no", "value")))
     )
-    grouped = resolved.groupBy(*keys).agg(cells.alias("cells"))
-    last_of_column = F.filter(
-        "cells",
-        lambda cell, i: ~F.get(F.col("cells"), i + 1)["col"].eqNullSafe(cell["col"]),
-    )
-    placed = F.map_from_arrays(F.col("kept")["col"], F.col("kept")["value"])
-    width = F.array_max(F.col("kept")["col"]) + 1
-    filled = F.transform(
-        F.sequence(F.lit(0), width - 1),
-        lambda i: F.coalesce(F.try_element_at(F.col("placed"), i), F.lit("")),
+    # cells come sorted, so each one cuts the row at its column and is appended
+    row = F.aggregate(
+        cells,
+        F.array().cast("array<string>"),
+        lambda row, cell: F.concat(
+            F.slice(row, F.lit(1), cell["col"]),
+            F.array_repeat(F.lit(""), cell["col"] - F.size(row)),
+            F.array(cell["value"]),
+        ),
     )
-    empty = F.array().cast("array<string>")
-    return (
-        grouped.withColumn("kept", last_of_column)
-        .withColumn("placed", placed)
-        .select(*keys, F.when(F.size("kept") == 0, empty).otherwise(filled).alias("row"))
+    return resolved.groupBy(*keys).agg(row.alias("row"))
+
+
+def columns_from_cells(resolved: DataFrame, width: int) -> DataFrame:
+    """`(workbook, part, row_no, c0 ...)`: cells pivoted onto `width` known columns.
+
+    Gaps are `""`; cells beyond the width are dropped; a column given twice
+    keeps its later cell. The cells of one row are usually read by one task,
+    which combines them before the exchange.
+    """
+    keys = ["workbook", "part", "row_no"]
+    names = [f"c{i}" for i in range(width)]
+    if width > _PIVOT_WIDTH:
+        return columns_from_rows(rows_from_cells(resolved), names, keep=keys)
+    later = [
+        F.max(F.when(F.col("col") == i, F.struct("cell_no", "value"))).alias(name)
+        for i, name in enumerate(names)
+    ]
+    wide = resolved.groupBy(*keys).agg(F.count("*").alias("cells"), *later)
+    return wide.select(
+        *keys, *[F.coalesce(F.col(f"{name}.value"), F.lit("")).alias(name) for name in names]
     )
 
 
@@ -179,8 +204,12 @@ def name_sheets(rows: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def column_names(header: Sequence[str]) -> list[str]:
-    """Header texts as column names: `_cN` for a blank, the position added to a repeat."""
-    folded = [name.lower() for name in header]
+    """Header texts as column names: `_cN` for a blank, the position added to a repeat.
+
+    A name that the union adds itself counts as repeated.
+    """
+    added = [SHEET_COLUMN, *_POSITION]
+    folded = [name.lower() for name in [*header, *added]]
     names = []
     for position, name in enumerate(header):
         if not name:
@@ -214,18 +243,25 @@ def header_names(rows: DataFrame) -> list[str]:
 def columns_from_rows(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Array rows as named text columns, cut or padded to the number of names."""
     fitted = rows.select(*keep, fit_width(F.col("row"), len(names)).alias("row"))
-    return fitted.select(
-        *keep, *[F.col("row")[i].alias(name) for i, name in enumerate(names)]
-    )
+    return fitted.select(*keep, *[F.col("row")[i].alias(name) for i, name in enumerate(names)])
 
 
-def union_sheets(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+def union_sheets(
+    resolved: DataFrame, catalog: DataFrame, names: Sequence[str] | None = None
+) -> DataFrame:
     """All sheets' rows below their first one, stacked by position, with the sheet's name.
 
-    The first row of every sheet is dropped unread. `workbook, sheet_no, row_no`
-    keep the original order, which a table has not.
+    The first row of every sheet is dropped unread, but for the one that names
+    the columns if `names` are not given. `workbook, sheet_no, row_no` keep the
+    original order, which a table has not.
     """
-    body = rows.filter(F.col("row_no") > FIRST_ROW)
-    keys = ["workbook", "sheet_no", "row_no"]
-    stacked = columns_from_rows(body, names, keep=[*keys, "sheet"])
-    return stacked.withColumnRenamed("sheet", SHEET_COLUMN).select(*names, SHEET_COLUMN, *keys)
+    first = F.col("row_no") == FIRST_ROW
+    if names is None:
+        heads = rows_from_cells(resolved.filter(first))
+        names = header_names(name_sheets(heads, catalog))
+    body = columns_from_cells(resolved.filter(~first), len(names))
+    return name_sheets(body, catalog).select(
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)],
+        F.col("sheet").alias(SHEET_COLUMN),
+        *_POSITION,
+    )

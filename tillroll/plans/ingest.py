@@ -9,10 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators.sheets import (
     assemble_strings,
     date_styles,
-    header_names,
-    name_sheets,
     resolve_cells,
-    rows_from_cells,
     sheet_catalog,
     union_sheets,
 )
@@ -20,15 +17,14 @@ from tillroll.sources.staging import staged
 from tillroll.sources.workbooks import WorkbookTables, read_workbook_records, split_records
 
 
-def workbook_rows(tables: WorkbookTables) -> DataFrame:
-    """Array rows of every catalogued sheet: `workbook, part, row_no, row, sheet_no, sheet`."""
+def retail_table(tables: WorkbookTables, columns: Sequence[str] | None = None) -> DataFrame:
+    """The stacked sheets of the workbooks behind `tables`."""
     resolved = resolve_cells(
         tables.cells,
         assemble_strings(tables.string_runs),
         date_styles(tables.styles, tables.formats),
     )
-    catalog = sheet_catalog(tables.sheets, tables.relations)
-    return resolved.transform(rows_from_cells).transform(name_sheets, catalog)
+    return union_sheets(resolved, sheet_catalog(tables.sheets, tables.relations), columns)
 
 
 def ingest_workbooks(
@@ -41,5 +37,4 @@ def ingest_workbooks(
     headers; like a CSV schema they then apply by position.
     """
     records = staged(read_workbook_records(spark, path), "workbook-records", "kind")
-    rows = workbook_rows(split_records(records))
-    return union_sheets(rows, columns or header_names(rows))
+    return retail_table(split_records(records), columns)
