@@ -95,8 +95,9 @@ def csv_schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layout_by_country")
 def layout_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spread = layout.spread_by(_clean(spark, sf_dir).select(*layout.QUERY_COLUMNS), "country")
-    with layout.persisted(spread) as cached:
+    lines = _clean(spark, sf_dir).select(*layout.QUERY_COLUMNS)
+    clustered = staged(layout.cluster_by(lines, "country"), "lines-by-country")
+    with layout.persisted(clustered) as cached:
         layout.materialize(cached)
         # ten rows, written before the cache goes
         return staged(retail.country_revenue(cached), "country-revenue")

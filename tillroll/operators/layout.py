@@ -12,21 +12,30 @@ from pyspark.sql import DataFrame
 QUERY_COLUMNS = ["country", "source_sheet", "invoice_ts", "revenue"]
 
 
-def spread_by(df: DataFrame, key: str) -> DataFrame:
-    """Rows of one key close together, no partition oversized.
+def cluster_by(df: DataFrame, key: str) -> DataFrame:
+    """Rows of one key close together, no partition oversized: for tables to be written.
 
-    A rebalance lets adaptive execution cut a hot key into several partitions
-    and join small ones. A key may therefore span partitions, which a grouping
-    settles with one more exchange of partial results.
+    A rebalance lets adaptive execution cut a hot key, also one of equal rows,
+    into several partitions and join small ones. Write the result: Spark does
+    not adapt a plan that it caches, so under `persisted` the key would be one
+    partition again.
     """
     return df.hint("rebalance", key)
 
 
+def spread_evenly(df: DataFrame, partitions: int) -> DataFrame:
+    """Equal partitions whatever the keys: the layout for a cache of skewed rows.
+
+    A grouping then exchanges one row of partial results per task and key.
+    """
+    return df.repartition(partitions)
+
+
 def partition_by_key(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Hash layout with a fixed partition count: each key in exactly one partition.
 
     A grouping on the key then needs no exchange. Only for keys known to be
-    even: the largest key decides the largest partition; otherwise `spread_by`.
+    even, since the largest key decides the largest partition.
     """
     return df.repartition(partitions, key)
 
