@@ -242,12 +242,12 @@ def run_executor_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("run_document_json")
 def run_document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _clean(spark, sf_dir)
+    answers = retail.answer_all(views.retail_lines(spark, sf_dir))
     document = run_document(
         "retail",
-        raw_row_count(spark, sf_dir),
-        retail.country_revenue(lines),
-        retail.monthly_revenue(lines),
+        answers.counts.select(F.col("raw_count").alias("row_count")),
+        answers.countries,
+        answers.months.limit(12),
         app_name=F.lit("tillroll"),
     )
     path = staging_path(spark, "run-document")

@@ -310,7 +310,7 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (
         events.groupBy(
             F.col("user_id").cast("string").alias("run_label"),
-            F.floor(event_id / EVENTS_PER_FILE).alias("block"),
+            F.expr(f"event_id div {EVENTS_PER_FILE}").alias("block"),
         )
         .agg(
             F.sort_array(F.collect_list(action)).alias("events"),

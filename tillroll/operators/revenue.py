@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.retail import invoice_month
+from tillroll.operators.clean import is_sale
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -63,6 +64,62 @@ def revenue_by_sheet_month(lines: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+def revenue_groups(normalized: DataFrame) -> DataFrame:
+    """The smallest table that answers both questions and both counts from one scan.
+
+    One row per country, sheet and month of the sales, `sale` being true, and
+    one row for all other lines together: `sale, country, source_sheet, month,
+    lines, revenue`. Its size depends on countries and months, not on lines.
+    """
+    sale = F.coalesce(is_sale(), F.lit(False))
+    flagged = normalized.select(
+        sale.alias("sale"), "country", "source_sheet", "invoice_ts", "revenue"
+    )
+    keys = {
+        "country": F.col("country"),
+        "source_sheet": F.col("source_sheet"),
+        "month": F.trunc(F.col("invoice_ts"), "month"),
+    }
+    return flagged.groupBy(
+        "sale", *[F.when(F.col("sale"), key).alias(name) for name, key in keys.items()]
+    ).agg(F.count("*").alias("lines"), F.sum("revenue").alias("revenue"))
+
+
+def counts_of_groups(groups: DataFrame) -> DataFrame:
+    """`raw_count, clean_count` of the lines behind the groups; one row."""
+    return groups.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("raw_count"),
+        F.coalesce(F.sum(F.when(F.col("sale"), F.col("lines"))), F.lit(0)).alias("clean_count"),
+    )
+
+
+def countries_of_groups(groups: DataFrame) -> DataFrame:
+    """`revenue_by_country` of the lines behind the groups."""
+    total, lines = F.sum("revenue"), F.sum("lines")
+    return (
+        groups.filter("sale")
+        .groupBy("country")
+        .agg(
+            lines.alias("orders"),
+            F.round(total, 2).alias("total_revenue"),
+            F.round(total / lines, 2).alias("avg_revenue"),
+        )
+    )
+
+
+def months_of_groups(groups: DataFrame) -> DataFrame:
+    """`revenue_by_sheet_month` of the lines behind the groups."""
+    months = groups.filter("sale").groupBy("source_sheet", "month")
+    return months.agg(
+        F.sum("lines").alias("orders"), F.round(F.sum("revenue"), 2).alias("monthly_revenue")
+    ).select(
+        "source_sheet",
+        invoice_month(F.col("month")).alias("invoice_month"),
+        "orders",
+        "monthly_revenue",
+    )
+
+
 def top_by_revenue(groups: DataFrame, k: int = 10) -> DataFrame:
     """The k best countries; the name breaks ties so the answer is repeatable."""
     return groups.orderBy(F.desc("total_revenue"), F.asc("country")).limit(k)

@@ -45,8 +45,9 @@ def date_styles(styles: DataFrame, formats: DataFrame) -> DataFrame:
     """The `(workbook, s)` of every style that shows a date."""
     custom = (
         formats.filter(is_date_code(F.col("code")))
-        .select("workbook", "fmt_id", F.lit(True).alias("custom"))
+        .select("workbook", "fmt_id")
         .distinct()
+        .withColumn("custom", F.lit(True))
     )
     return (
         styles.join(custom, ["workbook", "fmt_id"], "left")

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 
+from tillroll.operators.clean import normalize_columns
 from tillroll.operators.revenue import (
+    counts_of_groups,
+    countries_of_groups,
     in_calendar_order,
+    months_of_groups,
     revenue_by_country,
     revenue_by_sheet_month,
+    revenue_groups,
     top_by_revenue,
 )
+from tillroll.sources.staging import staged
 
 
 def country_revenue(lines: DataFrame, k: int = 10, exact: bool = False) -> DataFrame:
@@ -20,3 +28,24 @@ def country_revenue(lines: DataFrame, k: int = 10, exact: bool = False) -> DataF
 def monthly_revenue(lines: DataFrame, k: int | None = 12, exact: bool = False) -> DataFrame:
     """Revenue by sheet and month: the earliest k groups, or all with `k=None`."""
     return in_calendar_order(revenue_by_sheet_month(lines, exact), k)
+
+
+class RetailAnswers(NamedTuple):
+    counts: DataFrame  # raw_count, clean_count
+    countries: DataFrame  # top countries by revenue
+    months: DataFrame  # every sheet and month
+
+
+def answer_all(raw: DataFrame, k: int = 10) -> RetailAnswers:
+    """Both counts and both answers from one scan of the raw lines.
+
+    Asked one by one, each of them scans the lines again. Here the lines are
+    reduced once to `revenue_groups`, a small table in the shared folder, and
+    the answers read that.
+    """
+    groups = staged(raw.transform(normalize_columns).transform(revenue_groups), "revenue-groups")
+    return RetailAnswers(
+        counts=counts_of_groups(groups),
+        countries=top_by_revenue(countries_of_groups(groups), k),
+        months=in_calendar_order(months_of_groups(groups)),
+    )
