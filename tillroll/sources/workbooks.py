@@ -67,8 +67,12 @@ def split_records(records: DataFrame) -> WorkbookTables:
     )
 
 
+def _batch(records: list[dict]) -> pa.RecordBatch:
+    columns = {name: [record.get(name) for record in records] for name in _FIELDS}
+    return pa.RecordBatch.from_pydict(columns, to_arrow_schema(WORKBOOK_RECORD))
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = to_arrow_schema(WORKBOOK_RECORD)
     pending: list[dict] = []
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
@@ -77,10 +81,10 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 record["workbook"] = workbook
                 pending.append(record)
                 if len(pending) == _BATCH:
-                    yield pa.RecordBatch.from_pylist(pending, schema)
+                    yield _batch(pending)
                     pending = []
     if pending:
-        yield pa.RecordBatch.from_pylist(pending, schema)
+        yield _batch(pending)
 
 
 def _workbook_records(content: bytes) -> Iterator[dict]:
@@ -99,30 +103,31 @@ def _workbook_records(content: bytes) -> Iterator[dict]:
                     yield from _sheet_cells(stream, part)
 
 
-def _local(name: str) -> str:
-    return name.rpartition("}")[2]
+def _is(element: ElementTree.Element, name: str) -> bool:
+    """Does the element have this name, in whichever edition of the format's namespace?"""
+    return element.tag.endswith("}" + name)
 
 
 def _texts(element: ElementTree.Element) -> list[str]:
-    return [node.text for node in element.iter() if _local(node.tag) == "t" and node.text]
+    return [node.text for node in element.iter() if _is(node, "t") and node.text]
 
 
 def _sheet_list(workbook: bytes, relations: bytes) -> Iterator[dict]:
-    sheets = [e for e in ElementTree.fromstring(workbook).iter() if _local(e.tag) == "sheet"]
+    sheets = [e for e in ElementTree.fromstring(workbook).iter() if _is(e, "sheet")]
     for position, sheet in enumerate(sheets, 1):
-        named = {_local(key): value for key, value in sheet.attrib.items()}
-        yield {"kind": "sheet", "cell_no": position, "raw": named["name"], "ref": named["id"]}
+        (rel_id,) = [value for key, value in sheet.attrib.items() if key.endswith("}id")]
+        yield {"kind": "sheet", "cell_no": position, "raw": sheet.get("name"), "ref": rel_id}
     for relation in ElementTree.fromstring(relations):
         yield {"kind": "relation", "ref": relation.get("Id"), "raw": relation.get("Target")}
 
 
 def _style_list(styles: bytes) -> Iterator[dict]:
     for group in ElementTree.fromstring(styles):
-        if _local(group.tag) == "numFmts":
+        if _is(group, "numFmts"):
             for fmt in group:
                 code = fmt.get("formatCode", "")
                 yield {"kind": "format", "s": int(fmt.get("numFmtId")), "raw": code}
-        elif _local(group.tag) == "cellXfs":
+        elif _is(group, "cellXfs"):
             for position, style in enumerate(group):
                 yield {"kind": "style", "cell_no": position, "s": int(style.get("numFmtId", "0"))}
 
@@ -130,14 +135,15 @@ def _style_list(styles: bytes) -> Iterator[dict]:
 def _elements(stream, root_name: str, row_name: str) -> Iterator[ElementTree.Element]:
     """The finished `row_name` elements of a part, each freed once it was used."""
     parents: list[ElementTree.Element] = []
+    ending = "}" + row_name
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
         if event == "start":
-            if not parents and _local(element.tag) != root_name:
+            if not parents and not _is(element, root_name):
                 return
             parents.append(element)
             continue
         parents.pop()
-        if _local(element.tag) == row_name:
+        if element.tag.endswith(ending):
             yield element
             parents[-1].clear()
 
@@ -151,12 +157,16 @@ def _shared_strings(stream) -> Iterator[dict]:
 def _sheet_cells(stream, part: str) -> Iterator[dict]:
     for row_no, row in enumerate(_elements(stream, "worksheet", "row"), 1):
         place = {"kind": "cell", "part": part, "row_no": row_no}
-        cells = [cell for cell in row if _local(cell.tag) == "c"]
+        cells = [cell for cell in row if _is(cell, "c")]
         if not cells:
             yield place | {"cell_no": 0}
         for cell_no, cell in enumerate(cells):
-            children = {_local(child.tag): child for child in reversed(cell)}
-            value, inline = children.get("v"), children.get("is")
+            value = inline = None
+            for child in cell:
+                if value is None and _is(child, "v"):
+                    value = child
+                elif inline is None and _is(child, "is"):
+                    inline = child
             yield place | {
                 "cell_no": cell_no,
                 "ref": cell.get("r", "A1"),
