@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -145,3 +146,54 @@ def test_not_a_workbook_fails(spark, tmp_path):
     (tmp_path / "b.xlsx").write_bytes(b"nothing of the kind")
     with pytest.raises(Exception, match="not a zip file"):
         ingest_workbooks(spark, str(tmp_path / "b.xlsx"))
+
+
+def random_book(path, seed):
+    """A workbook of cells whose texts are known by construction; returns its data rows."""
+    dice = random.Random(seed)
+    strings = [dice.choice(["", "plain", "with, comma", 'with "quote"', "ünï"]) + str(n) for n in range(20)]
+    letters = ["A", "B", "C", "D", "E", "Z", "AA"]
+    width = 5
+
+    def random_cell(ref):
+        index, days = dice.randrange(len(strings)), dice.randrange(30_000, 50_000)
+        seconds = dice.randrange(1, 86_400)
+        day = dt.datetime(1899, 12, 30) + dt.timedelta(days=days)
+        return dice.choice(
+            [
+                (c(ref, index, t="s"), strings[index]),
+                (c(ref, index, t="s", s=1), strings[index]),
+                (c(ref, inline=[strings[index], "!"], t="inlineStr"), strings[index] + "!"),
+                (c(ref, days, s=1), f"{day:%Y-%m-%d}"),
+                (c(ref, repr(days + seconds / 86_400), s=2), f"{day + dt.timedelta(seconds=seconds):%Y-%m-%d %H:%M:%S}"),
+                (c(ref, days, s=0), str(days)),
+                (c(ref, "TRUE", t="str"), "TRUE"),
+                (c(ref, s=1), ""),
+            ]
+        )
+
+    made, expected = {}, []
+    header = [c(f"{x}1", f"h{x}", t="str") for x in letters[:width]]
+    for number in range(1, dice.randrange(2, 5)):
+        name, rows = f"Sheet {number}", []
+        if dice.random() < 0.8 or number == 1:
+            rows.append(header if number == 1 else [c("A1", "unread")])
+            for row_no in range(2, dice.randrange(2, 9)):
+                used = [x for x in letters if dice.random() < 0.6]
+                drawn = {x: random_cell(f"{x}{row_no}") for x in used}
+                rows.append([xml for xml, _ in drawn.values()])
+                texts = [drawn[x][1] if x in drawn else "" for x in letters[:width]]
+                expected.append((*texts, name, row_no))
+        made[name] = sheet(*rows)
+    write_book(path, made, shared(*strings), styles([0, 14, 164], [(164, "YYYY hh")]))
+    return expected
+
+
+def test_random_books(spark, tmp_path):
+    expected = []
+    for seed in range(25):
+        expected += [(seed, *row) for row in random_book(tmp_path / f"b{seed:02}.xlsx", seed)]
+    table = ingest_workbooks(spark, str(tmp_path)).orderBy("workbook", "sheet_no", "row_no")
+    got = [(int(r.workbook[-7:-5]), *r[:6], r.row_no) for r in table.collect()]
+    assert len(expected) > 100
+    assert got == expected

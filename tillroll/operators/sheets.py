@@ -26,7 +26,7 @@ _SALTS = 16
 # Cells without a lookup get one of this many keys that match nothing.
 _IDLE_KEYS = 1 << 20
 # Beyond this width a row is assembled as an array instead of column by column.
-_PIVOT_WIDTH = 200
+_PIVOT_WIDTH = 50
 _POSITION = ["workbook", "sheet_no", "row_no"]
 
 
