@@ -218,3 +218,12 @@ def test_hot_style_hot_sheet_and_many_idle_cells(spark):
     assert got.count() == 5_999
     assert got.filter("a = 'text'").count() == 1_999
     assert got.filter("row_no = 3 and a = '1900-01-01'").count() == 1
+
+
+def test_used_runs(spark):
+    cells = spark.createDataFrame([cell("A1", t="s", raw="1"), cell("B1", raw="0"), cell("C1", t="s")], CELLS)
+    runs = spark.createDataFrame(
+        [("w", 0, 0, "no"), ("w", 1, 0, "yes"), ("w", 1, 1, "!"), ("x", 1, 0, "other book")],
+        "workbook string, idx long, run_no int, text string",
+    )
+    assert sorted(r.text for r in sheets.used_runs(cells, runs).collect()) == ["!", "yes"]

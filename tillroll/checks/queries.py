@@ -14,6 +14,7 @@ from tillroll.operators import layout, runs, sheets
 from tillroll.operators.clean import clean_lines, normalize_columns
 from tillroll.operators.revenue import row_count
 from tillroll.plans import retail
+from tillroll.plans.ingest import stacked_sheets
 from tillroll.plans.run_report import run_document, run_summary
 from tillroll.sources import delimited, documents
 from tillroll.sources.staging import staged, staging_path
@@ -140,17 +141,15 @@ def serial_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _resolved_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.resolve_cells(
-        views.sheet_cells(spark, sf_dir),
-        sheets.assemble_strings(views.string_runs(spark, sf_dir)),
-        sheets.date_styles(*views.order_styles(spark, sf_dir)),
-    )
-
-
 @query("cells_to_rows")
 def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.columns_from_cells(_resolved_cells(spark, sf_dir), 6)
+    tables = views.workbook_tables(spark, sf_dir)
+    resolved = sheets.resolve_cells(
+        tables.cells,
+        sheets.assemble_strings(tables.string_runs),
+        sheets.date_styles(tables.styles, tables.formats),
+    )
+    return sheets.columns_from_cells(resolved, 6)
 
 
 @query("ragged_rows")
@@ -169,8 +168,7 @@ def sheet_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sheet_union")
 def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = sheets.sheet_catalog(*views.sheet_relations(spark, sf_dir))
-    return sheets.union_sheets(_resolved_cells(spark, sf_dir), catalog)
+    return stacked_sheets(views.workbook_tables(spark, sf_dir))
 
 
 # --- run metrics --------------------------------------------------------------

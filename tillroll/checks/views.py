@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.sources.workbooks import WorkbookTables
+
 
 _schemas: dict[str, T.StructType] = {}
 
@@ -190,6 +192,20 @@ def order_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return styles, formats
 
 
+def workbook_tables(spark: SparkSession, sf_dir: str) -> WorkbookTables:
+    """The order workbooks as if they had been decoded."""
+    styles, formats = order_styles(spark, sf_dir)
+    sheets, relations = sheet_relations(spark, sf_dir)
+    return WorkbookTables(
+        cells=sheet_cells(spark, sf_dir),
+        string_runs=string_runs(spark, sf_dir),
+        formats=formats,
+        styles=styles,
+        sheets=sheets,
+        relations=relations,
+    )
+
+
 def part_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Styles and formats of one workbook per brand, a style per part, a format per size."""
     part = table(spark, sf_dir, "part").withColumn("workbook", F.concat(F.lit("styles-"), "p_brand"))

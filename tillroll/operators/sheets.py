@@ -247,20 +247,25 @@ def columns_from_rows(rows: DataFrame, names: Sequence[str], keep: Sequence[str]
     return fitted.select(*keep, *[F.col("row")[i].alias(name) for i, name in enumerate(names)])
 
 
-def union_sheets(
-    resolved: DataFrame, catalog: DataFrame, names: Sequence[str] | None = None
-) -> DataFrame:
+def first_rows(cells: DataFrame) -> DataFrame:
+    """The cells of every sheet's first row."""
+    return cells.filter(F.col("row_no") == FIRST_ROW)
+
+
+def used_runs(cells: DataFrame, runs: DataFrame) -> DataFrame:
+    """The text runs of the shared strings that these cells show."""
+    shown = cells.filter(F.col("t") == "s").select(
+        "workbook", F.col("raw").try_cast("long").alias("idx")
+    )
+    return runs.join(shown, ["workbook", "idx"], "left_semi")
+
+
+def union_sheets(resolved: DataFrame, catalog: DataFrame, names: Sequence[str]) -> DataFrame:
     """All sheets' rows below their first one, stacked by position, with the sheet's name.
 
-    The first row of every sheet is dropped unread, but for the one that names
-    the columns if `names` are not given. `workbook, sheet_no, row_no` keep the
-    original order, which a table has not.
+    `workbook, sheet_no, row_no` keep the original order, which a table has not.
     """
-    first = F.col("row_no") == FIRST_ROW
-    if names is None:
-        heads = rows_from_cells(resolved.filter(first))
-        names = header_names(name_sheets(heads, catalog))
-    body = columns_from_cells(resolved.filter(~first), len(names))
+    body = columns_from_cells(resolved.filter(F.col("row_no") > FIRST_ROW), len(names))
     return name_sheets(body, catalog).select(
         *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)],
         F.col("sheet").alias(SHEET_COLUMN),

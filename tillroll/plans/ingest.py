@@ -9,16 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators.sheets import (
     assemble_strings,
     date_styles,
+    first_rows,
+    header_names,
+    name_sheets,
     resolve_cells,
+    rows_from_cells,
     sheet_catalog,
     union_sheets,
+    used_runs,
 )
 from tillroll.sources.staging import staged
 from tillroll.sources.workbooks import WorkbookTables, read_workbook_records, split_records
 
 
-def retail_table(tables: WorkbookTables, columns: Sequence[str] | None = None) -> DataFrame:
-    """The stacked sheets of the workbooks behind `tables`."""
+def header_of(tables: WorkbookTables) -> list[str]:
+    """Column names of the stacked table, from first rows and the few strings they show."""
+    heads = first_rows(tables.cells)
+    resolved = resolve_cells(
+        heads,
+        assemble_strings(used_runs(heads, tables.string_runs)),
+        date_styles(tables.styles, tables.formats),
+    )
+    catalog = sheet_catalog(tables.sheets, tables.relations)
+    return header_names(name_sheets(rows_from_cells(resolved), catalog))
+
+
+def stacked_sheets(tables: WorkbookTables, columns: Sequence[str] | None = None) -> DataFrame:
+    """The sheets of the workbooks behind `tables` as one table."""
+    if columns is None:
+        columns = header_of(tables)
     resolved = resolve_cells(
         tables.cells,
         assemble_strings(tables.string_runs),
@@ -37,4 +56,4 @@ def ingest_workbooks(
     headers; like a CSV schema they then apply by position.
     """
     records = staged(read_workbook_records(spark, path), "workbook-records", "kind")
-    return retail_table(split_records(records), columns)
+    return stacked_sheets(split_records(records), columns)
