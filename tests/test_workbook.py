@@ -148,6 +148,18 @@ def test_not_a_workbook_fails(spark, tmp_path):
         ingest_workbooks(spark, str(tmp_path / "b.xlsx"))
 
 
+def test_blank_first_row_leaves_only_the_sheet_name(spark, tmp_path):
+    write_book(tmp_path / "b.xlsx", {"S": sheet([], [c("A2", "1"), c("B2", "2")])})
+    got = ingest_workbooks(spark, str(tmp_path / "b.xlsx"))
+    assert got.columns[0] == "SourceSheet"
+    assert [(r.SourceSheet, r.row_no) for r in got.collect()] == [("S", 2)]
+
+
+def test_workbook_without_rows(spark, tmp_path):
+    write_book(tmp_path / "b.xlsx", {"S": sheet()})
+    assert ingest_workbooks(spark, str(tmp_path / "b.xlsx")).count() == 0
+
+
 def random_book(path, seed):
     """A workbook of cells whose texts are known by construction; returns its data rows."""
     dice = random.Random(seed)

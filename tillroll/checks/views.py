@@ -82,7 +82,7 @@ def retail_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumns(
         {
             "Quantity": F.when(F.col("Quantity").isNull(), F.lit("n/a"))
-            .when(F.col("Country").isNull(), F.concat(F.col("Quantity").cast("string"), F.lit(".0")))
+            .when(F.col("Country").isNull(), F.format_string("%d.0", "Quantity"))
             .otherwise(F.col("Quantity").cast("string")),
             "InvoiceDate": F.when(F.col("Price").isNull(), F.lit("unknown")).otherwise(
                 F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss")
@@ -156,7 +156,9 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"workbook": _workbook(), "part": _part(_sheet_no()), "row_no": F.col("o_orderkey") + 2}
     )
     heads = orders.select(
-        _workbook().alias("workbook"), _sheet_no().alias("sheet_no"), F.lit(1).cast("long").alias("row_no")
+        _workbook().alias("workbook"),
+        _sheet_no().alias("sheet_no"),
+        F.lit(1).cast("long").alias("row_no"),
     ).distinct()
     # only the first sheet's header counts; the others get texts of their own
     names = F.when(F.col("sheet_no") == 1, F.array(*[F.lit(n) for n in _HEADER])).otherwise(
@@ -166,9 +168,7 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[_cell(letter, row, t="inlineStr", inline=names[i]) for i, letter in enumerate("ABCDE")]
     )
     head = heads.withColumn("part", _part(F.col("sheet_no")))
-    return _exploded_cells(body, cells).unionByName(
-        _exploded_cells(head, head_cells)
-    )
+    return _exploded_cells(body, cells).unionByName(_exploded_cells(head, head_cells))
 
 
 def string_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,16 +178,16 @@ def string_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         books.alias("workbook"), F.col("c_custkey").alias("idx"), "c_name"
     )
     cut = F.instr("c_name", "#")
-    runs = F.array(
-        F.substring(F.col("c_name"), F.lit(1), cut - 1), F.substring(F.col("c_name"), cut, F.length("c_name"))
-    )
+    name = F.col("c_name")
+    runs = F.array(F.substring(name, F.lit(1), cut - 1), F.substring(name, cut, F.length(name)))
     return named.select("workbook", "idx", F.posexplode(runs).alias("run_no", "text"))
 
 
 def order_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Styles and formats of the order workbooks: 0 general, 1 money, 2 a custom date."""
     books = table(spark, sf_dir, "orders").select(_workbook().alias("workbook")).distinct()
-    styles = books.select("workbook", F.posexplode(F.array(F.lit(0), F.lit(4), F.lit(164))).alias("s", "fmt_id"))
+    fmt_ids = F.array(F.lit(0), F.lit(4), F.lit(164))
+    styles = books.select("workbook", F.posexplode(fmt_ids).alias("s", "fmt_id"))
     formats = books.select("workbook", F.lit(164).alias("fmt_id"), F.lit("DD/MM/YYYY").alias("code"))
     return styles, formats
 
@@ -256,7 +256,8 @@ def cell_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_size") <= 33, F.concat(first, second))
         .otherwise(F.concat(first, second, third))
     )
-    return part.select("p_partkey", F.concat(letters, (F.col("p_partkey") + 1).cast("string")).alias("ref"))
+    row = (F.col("p_partkey") + 1).cast("string")
+    return part.select("p_partkey", F.concat(letters, row).alias("ref"))
 
 
 def event_serials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,6 +366,7 @@ def executor_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.array(
-            status("10.0.0.2:7001", k * 10_007), status("10.0.0.1:7001", k * 131_072 + F.col("event_id") % 997)
+            status("10.0.0.2:7001", k * 10_007),
+            status("10.0.0.1:7001", k * 131_072 + F.col("event_id") % 997),
         ).alias("status"),
     )

@@ -34,13 +34,3 @@ def write_run_documents(documents: DataFrame, path: str) -> None:
 def write_run_summary(summary: DataFrame, path: str) -> None:
     """One JSON object per run and line, each with its `run_label`."""
     summary.write.json(path)
-
-
-def summary_by_label(summary: DataFrame) -> DataFrame:
-    """Rows `run_label, entry` whose entries are the JSON objects of a keyed summary.
-
-    The keyed object itself would put all runs into one task; a reader who wants
-    it for a handful of runs joins these entries.
-    """
-    values = [c for c in summary.columns if c != "run_label"]
-    return summary.select("run_label", F.to_json(F.struct(*values)).alias("entry"))
