@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import licenses
+from tillroll.llm import licenses, quality, toxicity
 from tillroll.llm.common import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    index = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, index)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality.judge_quality(docs, model)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_quality_rules": op4_quality_rules,
     "op8_license_scan": op8_license_scan,
 }
 ORACLES: dict[str, str] = {}
