@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import licenses, quality, toxicity
+from tillroll.llm import html_text, licenses, quality, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, index)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract_pages(pages, html_text.fit_weights(pages))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -28,6 +33,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op8_license_scan": op8_license_scan,
 }
