@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, html_text, licenses, quality, toxicity
+from tillroll.llm import chat, html_text, licenses, packing, quality, toxicity
 from tillroll.llm.common import read_table
 
 
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     index = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
@@ -36,6 +43,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
 }
 ORACLES: dict[str, str] = {}
