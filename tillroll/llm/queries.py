@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, html_text, licenses, packing, quality, toxicity
+from tillroll.llm import chat, html_text, licenses, packing, pii, quality, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -51,6 +51,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret of the surrogates, from the session; the default only fits tests and trials."""
+    return spark.conf.get("spark.tillroll.surrogateKey", "set spark.tillroll.surrogateKey").encode()
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(read_table(spark, sf_dir, "documents"), pii_key(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_html_extraction": op3_html_extraction,
@@ -58,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_formatting": op5_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
+    "op9_pii_surrogates": op9_pii_surrogates,
 }
 ORACLES: dict[str, str] = {}
