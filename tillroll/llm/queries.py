@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, html_text, licenses, packing, pii, quality, toxicity
+from tillroll.llm import chat, html_text, licenses, near_duplicates, packing, pii, quality, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, index)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return html_text.extract_pages(pages, html_text.fit_weights(pages))
@@ -62,6 +66,7 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
