@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, html_text, licenses, near_duplicates, packing, pii, quality, toxicity
+from tillroll.llm import chat, embeddings, html_text, licenses, near_duplicates, packing, pii, quality, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -64,6 +64,10 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_personal_data(read_table(spark, sf_dir, "documents"), pii_key(spark))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -73,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
     "op9_pii_surrogates": op9_pii_surrogates,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 ORACLES: dict[str, str] = {}
