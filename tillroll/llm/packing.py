@@ -9,6 +9,7 @@ again, until one pool is left. Everything else is final after its round.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ PART_PIECES = 50_000  # pieces of a partition in the first round, in expectation
 POOLED = 16  # partitions whose open bins meet in one pool
 OPEN_BINS = 4  # that each wasted bin opens, besides the emptiest one
 _CACHED_WORDS = 700_000
-_SEPARATOR = b"\x00"
+_MARKS = ".,;:!?"
+_plain_word = re.compile("[a-zß-öø-ÿа-яёα-ω]+")
 
 
 class WordIds:
@@ -35,17 +37,23 @@ class WordIds:
     The tokenizer drops white space and never joins what stands on its two sides,
     so a text's ids are those of its words in order. It also lowers case; A-Z are
     lowered beforehand to have fewer words, except where a special token may stand.
+    Words of lower-case letters are what normalisation would leave them and one
+    token group each, so their step is left out; marks behind them are a group too.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[bytes, bytes] = {}
-        self.separator = self._encode("\0")
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -61,21 +69,32 @@ class WordIds:
         return [b"".join(map(self.cache.__getitem__, w)) for w in words]
 
     def _learn(self, words: set[bytes]) -> None:
-        alone = {w for w in words if _SEPARATOR in w or b"<|" in w}
-        for word in alone:
-            self.cache[word] = self._encode(word.decode()).tobytes()
-        order = sorted(words - alone)
-        if not order:
-            return
-        assert len(self.separator) == 1
-        ids = self._encode(" \0 ".join(w.decode() for w in order))
-        cuts = np.flatnonzero(ids == self.separator[0])
-        if len(cuts) != len(order) - 1:
-            raise ValueError("the tokenizer did not keep words apart")
-        data = ids.tobytes()
-        edges = np.concatenate([[-1], cuts, [len(ids)]])
-        for word, a, b in zip(order, (edges[:-1] + 1).tolist(), edges[1:].tolist()):
-            self.cache[word] = data[4 * a : 4 * b]
+        parts = []
+        for word in words:
+            text = word.decode()
+            letters = text.rstrip(_MARKS)
+            if _plain_word.fullmatch(letters):
+                parts.append((word, letters.encode(), word[len(letters.encode()) :]))
+            else:
+                self.cache[word] = self._whole(text)
+        fresh = sorted({letters for _, letters, _ in parts} - self.cache.keys())
+        if fresh:
+            joined = self.plain.encode_batch_fast([" ".join(w.decode() for w in fresh)], add_special_tokens=False)
+            ids = np.array(joined[0].ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) != len(fresh):
+                raise ValueError("the tokenizer did not keep words apart")
+            data = ids.tobytes()
+            for word, a, b in zip(fresh, [0, *ends], ends):
+                self.cache[word] = data[4 * a : 4 * b]
+        for word, letters, marks in parts:
+            if marks:
+                if marks not in self.cache:
+                    self.cache[marks] = self._whole(marks.decode())
+                self.cache[word] = self.cache[letters] + self.cache[marks]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 _encoders: dict[str, WordIds] = {}
