@@ -79,8 +79,32 @@ def common_bins(docs: DataFrame, text: str = "text") -> np.ndarray:
     return order
 
 
+def bits_for(n: int) -> int:
+    """Bits of the bitmap of a set of n shingles, a power of two."""
+    return 1 << min(15, max(6, (2 * n - 1).bit_length()))
+
+
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """64-bit words in which bit h mod `bits_for(n)` is the parity of the shingles hashed there.
+
+    Each shingle that only one of two sets has flips one bit at most, so the bits in
+    which two bitmaps differ are no more than the shingles in which the sets differ.
+    """
+    bits = bits_for(len(shingles))
+    places = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
+def folded(words: np.ndarray, bits: int) -> np.ndarray:
+    """The bitmap with fewer bits: its halves laid over each other, which keeps the parities."""
+    while 64 * len(words) > bits:
+        half = len(words) // 2
+        words = words[:half] ^ words[half:]
+    return words
+
+
 def shingled(docs: DataFrame, order: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id, n, node, prefix` of each row: set size, what stands for the set, and its rarest shingles."""
+    """`doc_id, n, node, bits, prefix` of each row: the set's size, what stands for it, its bitmap and rarest shingles."""
     frame = _frame(docs, doc_id, text)
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
@@ -88,24 +112,30 @@ def shingled(docs: DataFrame, order: np.ndarray, doc_id: str = "doc_id", text: s
         order = shared.value
         for batch in slices_by_bytes(batches, "text"):
             sets = shingle_sets(batch.column(1))
-            prefixes, marks = [], []
+            prefixes = []
             for s in sets:
                 rank = order[(s & np.uint64(BINS - 1)).astype(np.int64)]
                 first = np.lexsort((s, rank))[: probe_length(len(s)) if len(s) else 0]
-                prefixes.append(s[first].view(np.int64))
-                marks.append(fingerprint(s))
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            values = pa.array(np.concatenate([np.empty(0, np.int64), *prefixes]))
-            node = pa.StructArray.from_arrays(
-                [pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)], names=["x", "y"]
-            )
+                prefixes.append(s[first])
+            maps = pa.array([bitmap(s).tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), node, pa.ListArray.from_arrays(pa.array(ends), values)],
-                names=["doc_id", "n", "node", "prefix"],
-            )
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _nodes(sets), maps, _lists(prefixes)],
+                names=["doc_id", "n", "node", "bits", "prefix"],
+            )
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(rows, f"doc_id {kind}, n long, node {_NODE}, prefix array<bigint>")
+    return frame.mapInArrow(rows, f"doc_id {kind}, n long, node {_NODE}, bits binary, prefix array<bigint>")
+
+
+def _nodes(sets: list[np.ndarray]) -> pa.Array:
+    marks = [fingerprint(s) for s in sets]
+    return pa.StructArray.from_arrays([pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)], names=["x", "y"])
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    values = np.concatenate([np.empty(0, np.uint64), *arrays]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
 def _slot(rep: Column) -> Column:
@@ -126,9 +156,8 @@ def _filter_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`node, shingles` of the wanted (`rep`, `node`) sets, from the texts of the documents `rep`."""
-    wanted = wanted.distinct()
-    # The rep alone decides what is read again: a bitmap first, then the join by the node.
+    """`sid, shingles` of the wanted sets (`sid, rep, node`), from the texts of the documents `rep`."""
+    # A bitmap says which texts are worth reading again, then the join leaves the wanted ones.
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
     frame = _frame(docs, doc_id, text).withColumn("slot", _slot(F.col("doc_id")))
 
@@ -138,98 +167,87 @@ def sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: st
             hit = (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
             batch = batch.filter(pa.array(hit.astype(bool)))
             sets = shingle_sets(batch.column(1))
-            marks = [fingerprint(s) for s in sets]
-            node = pa.StructArray.from_arrays(
-                [pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)], names=["x", "y"]
-            )
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            values = pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), node, pa.ListArray.from_arrays(pa.array(ends), values)], names=["rep", "node", "shingles"]
-            )
+                [batch.column(0), _nodes(sets), _lists(sets)], names=["rep", "node", "shingles"]
+            )
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     found = frame.mapInArrow(rows, f"rep {kind}, node {_NODE}, shingles array<bigint>")
-    # Repeated rows of one identifier and text would give their set twice.
-    return found.join(wanted, ["rep", "node"]).dropDuplicates(["node"]).select("node", "shingles")
+    # Repeated rows of one identifier and text give their set twice; equal keys need no further exchange.
+    return found.join(wanted, ["rep", "node"]).dropDuplicates(["rep", "node"]).select("sid", "shingles")
 
 
-def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
-    """A row of 64-bit words per set: bit h mod `bits` is the parity of the shingles hashed there.
+def _places(members: pd.Series, ends: pd.Series) -> np.ndarray:
+    """Where each pair's end stands among the tile's members."""
+    ids = members.to_numpy(dtype=np.int64)
+    order = np.argsort(ids)
+    return order[np.searchsorted(ids, ends.to_numpy(dtype=np.int64), sorter=order)]
 
-    Each shingle that only one of two sets has flips one bit at most, so the bits in
-    which two rows differ are no more than the shingles in which the sets differ.
-    """
-    out = np.zeros((len(sets), bits), np.uint8)
-    for row, s in zip(out, sets):
-        np.bitwise_xor.at(row, (mix(s.view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64), 1)
-    return np.packbits(out, axis=1).view(np.uint64)
-
-
-def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which of the pairs (places in `sets`) are links."""
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    bits = 1 << min(15, max(6, int(2 * size.max(initial=1) - 1).bit_length()))
-    maps = bitmaps(sets, bits)
-    total = size[left] + size[right]
+
+def _possible(key: tuple, members: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a tile whose bitmaps leave room for a link."""
+    words = [np.frombuffer(b, np.uint64) for b in members["bits"]]
+    bits = 64 * min(map(len, words), default=1)
+    maps = np.array([folded(w, bits) for w in words], dtype=np.uint64).reshape(len(words), -1)
+    left, right = _places(members["sid"], pairs["left"]), _places(members["sid"], pairs["right"])
+    total = pairs["sizes"].to_numpy(dtype=np.int64)
     needed = -(-NUMERATOR * total // DENOMINATOR)
-    linked = np.zeros(len(left), dtype=bool)
-    step = max(1, (8 << 20) * 8 // bits)
-    for at in range(0, len(left), step):
+    possible = np.zeros(len(pairs), dtype=bool)
+    step = max(1, (64 << 20) // bits)
+    for at in range(0, len(pairs), step):
         rows = slice(at, at + step)
         apart = np.bitwise_count(maps[left[rows]] ^ maps[right[rows]]).sum(axis=1, dtype=np.int64)
-        linked[rows] = (total[rows] - apart) // 2 >= needed[rows]
-    for k in np.flatnonzero(linked).tolist():
-        a, b = sets[left[k]], sets[right[k]]
-        linked[k] = len(a) + len(b) - len(np.union1d(a, b)) >= needed[k]
-    return linked
+        possible[rows] = (total[rows] - apart) // 2 >= needed[rows]
+    return pairs.loc[possible, ["band", "tile", "left", "right"]]
 
 
-def _tile(key: tuple, sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-    place = {node: i for i, node in enumerate(zip(sets["x"], sets["y"]))}
-    arrays = [np.asarray(s, dtype=np.int64) for s in sets["shingles"]]
-    left = np.array([place[n] for n in zip(pairs["lx"], pairs["ly"])], dtype=np.int64)
-    right = np.array([place[n] for n in zip(pairs["rx"], pairs["ry"])], dtype=np.int64)
-    linked = similar(arrays, left, right) if len(pairs) else np.zeros(0, dtype=bool)
-    return pairs.loc[linked, ["a", "b"]]
+def _linked(key: tuple, members: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a tile that are links, by exact intersection."""
+    sets = [np.asarray(s, dtype=np.int64).view(np.uint64) for s in members["shingles"]]
+    left, right = _places(members["sid"], pairs["left"]), _places(members["sid"], pairs["right"])
+    linked = np.zeros(len(pairs), dtype=bool)
+    for k, (i, j) in enumerate(zip(left.tolist(), right.tolist())):
+        both = np.concatenate([sets[i], sets[j]])
+        both.sort(kind="stable")  # two sorted runs, so a merge
+        overlap = int((both[1:] == both[:-1]).sum())
+        linked[k] = overlap >= least_overlap(len(both))
+    return pairs.loc[linked, ["left", "right"]].set_axis(["a", "b"], axis=1)
 
 
-def links_among(docs: DataFrame, pairs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`a, b`: the representatives of the pairs that are links.
+def links_among(docs: DataFrame, pairs: DataFrame, reps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`a, b`: the pairs of sets that are links.
 
-    pairs: `left, right` structs `(n, rep, node)`, left not larger. A left set with
-    many partners stands in several tiles, so no tile grows with a group of copies.
+    pairs: `left, right` structs `(n, sid)`, left not larger. A left set with many
+    partners stands in several tiles, so no tile grows with a group of copies.
     """
     band = F.floor(F.log(F.col("left.n").cast("double")) / math.log(1.25)).cast("int")
     pairs = staged(pairs.withColumn("band", band), "near-pairs")
     of_band = {r["band"]: r["n"] for r in pairs.groupBy("band").agg(F.count("*").alias("n")).collect()}
     if not of_band:
-        return pairs.select(F.col("left.rep").alias("a"), F.col("right.rep").alias("b"))
+        return pairs.select(F.col("left.sid").alias("a"), F.col("right.sid").alias("b"))
     slots = F.create_map(*(F.lit(int(x)) for b, n in of_band.items() for x in (b, -(-n // TILE_PAIRS))))
-    partners = pairs.groupBy("left.node").agg(F.count("*").alias("partners"))
-    pairs = pairs.withColumn("node", F.col("left.node")).join(partners, "node").drop("node")
-    share = F.pmod(F.xxhash64("right.node"), F.ceil(F.col("partners") / (TILE_PAIRS // 2)))
-    tile = F.pmod(F.xxhash64("left.node", share), F.element_at(slots, F.col("band")))
-    pairs = staged(pairs.select("band", tile.alias("tile"), "left", "right"), "near-tiles")
-    member = pairs.select(
-        F.col("band").alias("of_band"), F.col("tile").alias("of_tile"), F.explode(F.array("left", "right")).alias("m")
-    )
-    member = member.select("of_band", "of_tile", "m.rep", "m.node").distinct()
-    sets = sets_of(docs, member.select("rep", "node"), doc_id, text)
-    tiled = member.select("of_band", "of_tile", "node").join(sets, "node")
-    tiled = tiled.select("of_band", "of_tile", "node.x", "node.y", "shingles")
-    flat = pairs.select(
-        "band", "tile", F.col("left.rep").alias("a"), F.col("right.rep").alias("b"),
-        F.col("left.node.x").alias("lx"), F.col("left.node.y").alias("ly"),
-        F.col("right.node.x").alias("rx"), F.col("right.node.y").alias("ry"),
-    )
-    kind = flat.schema["a"].dataType.simpleString()
-    groups = tiled.groupBy("of_band", "of_tile").cogroup(flat.groupBy("band", "tile"))
-    return staged(groups.applyInPandas(_tile, f"a {kind}, b {kind}"), "near-links")
-
-
-def _member(prefix: str = "") -> Column:
-    return F.struct("n", "rep", "node")
+    partners = pairs.groupBy("left").agg(F.count("*").alias("partners"))
+    share = F.pmod(F.xxhash64("right.sid"), F.ceil(F.col("partners") / (TILE_PAIRS // 2)))
+    tile = F.pmod(F.xxhash64("left.sid", share), F.element_at(slots, F.col("band")))
+    sizes = (F.col("left.n") + F.col("right.n")).alias("sizes")
+    ends = [F.col("left.sid").alias("left"), F.col("right.sid").alias("right")]
+    pairs = staged(pairs.join(partners, "left").select("band", tile.alias("tile"), *ends, sizes), "near-tiles")
+
+    def in_tiles(pairs: DataFrame) -> DataFrame:
+        member = F.explode(F.array("left", "right")).alias("sid")
+        return pairs.select(F.col("band").alias("of_band"), F.col("tile").alias("of_tile"), member).distinct()
+
+    def by_tile(members: DataFrame, pairs: DataFrame, function, schema: str) -> DataFrame:
+        groups = members.groupBy("of_band", "of_tile").cogroup(pairs.groupBy("band", "tile"))
+        return groups.applyInPandas(function, schema)
+
+    mapped = in_tiles(pairs).join(reps.select("sid", "bits"), "sid")
+    possible = by_tile(mapped, pairs, _possible, "band int, tile long, left long, right long")
+    possible = staged(possible, "near-possible")
+    members = in_tiles(possible)
+    wanted = members.select("sid").distinct().join(reps.select("sid", "rep", "node"), "sid")
+    with_sets = members.join(sets_of(docs, wanted, doc_id, text), "sid")
+    return staged(by_tile(with_sets, possible, _linked, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,46 +256,52 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     `component_id` is the smallest identifier that links reach. Null and empty texts,
     and those without words, have no shingles, are linked with nothing and are their
     own component. Repeated rows stay repeated. A row with a null identifier gets the
-    component of its text, null if no row with an identifier is in it.
+    component of its text, null if no row with an identifier has that text.
     """
     rows = staged(shingled(docs, common_bins(docs, text), doc_id, text), "near-rows")
     some = rows.filter("n > 0")
-    reps = staged(some.groupBy("n", "node").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "near-sets")
-    prefixes = rows.select(F.col("doc_id").alias("rep"), "node", "prefix").join(reps, ["rep", "node"])
-    prefixes = prefixes.dropDuplicates(["node"])
-    postings = prefixes.select(F.posexplode("prefix").alias("pos", "token"), _member().alias("m"))
-    last = F.col("m.n") - F.ceil(F.lit(2 * NUMERATOR) * F.col("m.n") / DENOMINATOR)  # index_length - 1
-    postings = postings.select("token", "m", (F.col("pos") <= last).alias("indexed"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("n"), F.min("m").alias("first"))
-    shared = shared.filter("n > 1").select("token", "first")
+    reps = some.groupBy("n", "node").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
+    chosen = some.select(F.col("doc_id").alias("rep"), "node", "bits").join(reps, ["rep", "node"])
+    chosen = chosen.dropDuplicates(["rep", "node"]).withColumn("sid", F.monotonically_increasing_id())
+    reps = staged(chosen.select("sid", "n", "rep", "node", "bits"), "near-sets")
+    prefixes = some.select(F.col("doc_id").alias("rep"), "node", "prefix")
+    prefixes = prefixes.join(reps.select("sid", "n", "rep", "node"), ["rep", "node"]).dropDuplicates(["rep", "node"])
+    last = F.col("n") - F.ceil(F.lit(2 * NUMERATOR) * F.col("n") / DENOMINATOR)  # index_length - 1
+    postings = prefixes.select("n", "sid", F.posexplode_outer("prefix").alias("pos", "token"))
+    postings = postings.select("token", "n", "sid", (F.col("pos") <= last).alias("indexed"))
+    shared = postings.groupBy("token").count().filter("count > 1").select("token")
     postings = staged(postings.join(shared, "token"), "near-postings")
 
     # One comparison for each set, with the smallest set of most of its shingles.
-    fits = 5 * F.col("first.n") >= 4 * F.col("m.n")
-    tries = postings.filter((F.col("first.node") != F.col("m.node")) & fits).groupBy("m", "first").count()
-    best = tries.groupBy("m").agg(F.max_by("first", F.struct("count", "first")).alias("first"))
-    links = links_among(docs, best.select(F.col("first").alias("left"), F.col("m").alias("right")), doc_id, text)
+    me = F.struct("n", "sid")
+    first = postings.groupBy("token").agg(F.min(me).alias("first"))
+    fits = 5 * F.col("first.n") >= 4 * F.col("n")
+    tries = postings.join(first, "token").filter((F.col("first.sid") != F.col("sid")) & fits)
+    tries = tries.groupBy(me.alias("right"), F.col("first").alias("left")).count()
+    best = tries.groupBy("right").agg(F.max_by("left", F.struct("count", "left")).alias("left"))
+    links = links_among(docs, best, reps, doc_id, text)
 
     # All other pairs that are not in one component yet.
-    known = components(links)
-    open_ = postings.select("token", "m", "indexed", F.col("m.rep").alias("id")).join(known, "id", "left")
-    open_ = staged(
-        open_.select("token", "m", "indexed", F.coalesce("component", "id").alias("component")), "near-open"
-    )
+    known = components(links).withColumnRenamed("id", "sid")
+    open_ = postings.join(known, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    open_ = staged(open_, "near-open")
     mixed = open_.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = open_.join(mixed.filter("low != high").select("token"), "token")
-    small = open_.filter("indexed").select("token", F.col("m").alias("left"), F.col("component").alias("left_component"))
-    large = open_.select("token", F.col("m").alias("right"), F.col("component").alias("right_component"))
+    small = open_.filter("indexed").select("token", me.alias("left"), F.col("component").alias("left_component"))
+    large = open_.select("token", me.alias("right"), F.col("component").alias("right_component"))
     apart = (
         (F.col("left_component") != F.col("right_component"))
         & (F.col("left") < F.col("right"))
         & (5 * F.col("left.n") >= 4 * F.col("right.n"))
     )
     others = small.join(large, "token").filter(apart).select("left", "right").distinct()
-    links = links.unionByName(links_among(docs, others, doc_id, text))
-
-    found = components(links).withColumnRenamed("id", "rep")
-    of_node = reps.join(found, "rep", "left").select("n", "node", F.coalesce("component", "rep").alias("component_id"))
-    with_words = some.join(of_node, ["n", "node"], "left").select("doc_id", "n", "component_id")
+    links = links.unionByName(links_among(docs, others, reps, doc_id, text))
+
+    found = components(links).withColumnRenamed("id", "sid")
+    of_set = reps.select("sid", "n", "rep", "node").join(found, "sid", "left")
+    of_set = of_set.withColumn("component", F.coalesce("component", "sid"))
+    least = of_set.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_set = of_set.join(least, "component").select("n", "node", "component_id")
+    with_words = some.select("doc_id", "n", "node").join(of_set, ["n", "node"], "left")
     without = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return with_words.unionByName(without).withColumnRenamed("n", "n_shingles")
+    return with_words.select("doc_id", "n", "component_id").unionByName(without).withColumnRenamed("n", "n_shingles")
