@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, embeddings, html_text, licenses, near_duplicates, packing, pii, quality, toxicity
+from tillroll.llm import chat, embeddings, html_text, licenses, near_duplicates, packing, pii, quality, sentence_pieces, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -47,6 +47,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
     "op9_pii_surrogates": op9_pii_surrogates,
