@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.sources.staging import staged, staging_path
 
-__all__ = ["crc_fold", "read_table", "slices_by_bytes", "staged", "staging_path"]
+__all__ = ["crc_fold", "keep_rows", "read_table", "slices_by_bytes", "staged", "staging_path"]
 
 #: White space between words; the same bytes in UTF-8.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,3 +45,14 @@ def slices_by_bytes(
             total += size
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def keep_rows(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]], text: str = "text") -> DataFrame:
+    """The rows whose text `keep` says yes to, with all their columns and without an exchange."""
+    at = docs.columns.index(text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices_by_bytes(batches, text):
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -274,6 +274,18 @@ def distinct_attempts(docs: DataFrame, key: bytes, text: str = "text") -> dict[s
     raise RuntimeError("surrogates still meet; use another key")
 
 
+def replaced_text(text: str | None, key: bytes, attempts: dict[str, int]) -> tuple[str | None, list]:
+    """The text with surrogates, and the entities that were found in it."""
+    spans = find(text) if text else []
+    if not spans:
+        return text, spans
+    parts, at = [], 0
+    for a, b, kind in spans:
+        parts += [text[at:a], surrogate(kind, text[a:b], key, attempts)]
+        at = b
+    return "".join([*parts, text[at:]]), spans
+
+
 def replace(
     docs: DataFrame, key: bytes, attempts: dict[str, int] = {}, doc_id: str = "doc_id", text: str = "text"  # noqa: B006
 ) -> DataFrame:
@@ -289,12 +301,8 @@ def replace(
         for batch in slices_by_bytes(batches, "text"):
             texts, counts, kinds = [], [], []
             for value in batch.column(1).to_pylist():
-                spans = find(value) if value else []
-                parts, at = [], 0
-                for a, b, kind in spans:
-                    parts += [value[at:a], surrogate(kind, value[a:b], key, attempts)]
-                    at = b
-                texts.append("".join([*parts, value[at:]]) if spans else value)
+                new, spans = replaced_text(value, key, attempts)
+                texts.append(new)
                 counts.append(len(spans))
                 kinds.append(",".join(sorted({k for _, _, k in spans})))
             yield pa.RecordBatch.from_arrays(
@@ -309,3 +317,23 @@ def replace(
 def replace_personal_data(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`replace` after the check over the whole corpus that no two entities share a surrogate."""
     return replace(docs, key, distinct_attempts(docs, key, text), doc_id, text)
+
+
+def replace_in_rows(docs: DataFrame, key: bytes, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """All rows and columns, with entities replaced in `text`, and `n_chars` (if there) counted again where one was."""
+    attempts = distinct_attempts(docs, key, text)
+    at = docs.columns.index(text)
+    count_at = docs.columns.index(n_chars) if n_chars in docs.columns else None
+
+    def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices_by_bytes(batches, text):
+            columns = batch.columns
+            pairs = [replaced_text(value, key, attempts) for value in columns[at].to_pylist()]
+            columns[at] = pa.array([new for new, _ in pairs], columns[at].type)
+            if count_at is not None:
+                before = columns[count_at].to_pylist()
+                after = [len(new) if spans else n for (new, spans), n in zip(pairs, before)]
+                columns[count_at] = pa.array(after, columns[count_at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(replaced, docs.schema)

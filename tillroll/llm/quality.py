@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import boosting
-from tillroll.llm.common import WORD, crc_fold, slices_by_bytes
+from tillroll.llm.common import WORD, crc_fold, keep_rows, slices_by_bytes
 
 SAMPLE_ROWS = 16_384  # labelled rows that the trees are fitted on, in expectation at most
 WRONGLY_REJECTED = 0.002  # share of good training rows that the verdict may reject
@@ -90,8 +90,8 @@ def count(text: str) -> tuple[list[int], list[float]]:
     return [n, word_chars, n_symbols, n_dup_lines, n_repeat], features
 
 
-def _stats_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    found = [count(t or "") for t in texts.to_pylist()]
+def _stats_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    found = [count(t or "") for t in texts]
     return np.array([c for c, _ in found], dtype=np.int64).reshape(-1, len(COUNTS)), np.array(
         [f for _, f in found], dtype=float
     ).reshape(-1, len(FEATURES))
@@ -101,12 +101,17 @@ def _frame(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
+def _base_failed(counts: np.ndarray) -> np.ndarray:
+    n, repeated = counts[:, 0], counts[:, 4]
+    return (n < LEAST_WORDS) | (100 * repeated > REPEATED_PERCENT * n)
+
+
 def sample_features(sample: DataFrame) -> DataFrame:
     """`doc_id, y, features` of `doc_id, y, text`; a null text counts as empty."""
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, "text"):
-            _, features = _stats_of(batch.column(2))
+            _, features = _stats_of(batch.column(2).to_pylist())
             listed = pa.array(features.tolist(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), listed], names=["doc_id", "y", "features"]
@@ -166,10 +171,9 @@ def judge_quality(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, "text"):
-            counts, features = _stats_of(batch.column(1))
+            counts, features = _stats_of(batch.column(1).to_pylist())
             score = forest.probability(features)
-            n, repeated = counts[:, 0], counts[:, 4]
-            failed = (n < LEAST_WORDS) | (100 * repeated > REPEATED_PERCENT * n)
+            failed = _base_failed(counts)
             columns = [*counts.T, score, failed, ~failed & (score >= least)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, columns)],
@@ -177,3 +181,14 @@ def judge_quality(
             )
 
     return frame.mapInArrow(judge, schema)
+
+
+def keep_good(docs: DataFrame, model: tuple[boosting.Forest, float], text: str = "text") -> DataFrame:
+    """The rows that `judge_quality` keeps, with all their columns."""
+    forest, least = model
+
+    def good(texts: list[str | None]) -> list[bool]:
+        counts, features = _stats_of(texts)
+        return (~_base_failed(counts) & (forest.probability(features) >= least)).tolist()
+
+    return keep_rows(docs, good, text)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc_fold, slices_by_bytes, staged
+from tillroll.llm.common import crc_fold, keep_rows, slices_by_bytes, staged
 from tillroll.llm.quality import labelled_sample
 
 SAMPLE_ROWS = 16_384  # labelled rows that examples are taken from, in expectation at most
@@ -258,6 +258,29 @@ def _indexed(kept, idf: dict[str, float], term_no: dict[str, int], prior: float)
     return Index(ids, kept["y"].to_numpy(float), idf, term_no, blocks, tops, starts, places, weights, prior)
 
 
+class Judge:
+    """Score and evidence of one text after another; equal vectors are looked up once."""
+
+    def __init__(self, index: Index) -> None:
+        self.index = index
+        self.bare = index.calibrated(index.prior), []
+        self.known: dict[tuple, tuple[float, list]] = {}
+
+    def __call__(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
+        index = self.index
+        vector = index.vector(_words(text)) if text else {}
+        if not vector or not index.doc_ids:
+            return self.bare
+        key = tuple(vector.items())
+        if key not in self.known:
+            if len(self.known) > 10_000:
+                self.known.clear()
+            places, cosines = index.nearest(vector, NEIGHBOURS)
+            shown = [(index.doc_ids[p], float(c), int(index.toxic[p])) for p, c in zip(places[:SHOWN], cosines)]
+            self.known[key] = index.calibrated(index.vote(places, cosines)), shown
+        return self.known[key]
+
+
 def score_toxicity(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per input row: `doc_id, held_out, score, predicted, neighbours`.
 
@@ -270,29 +293,12 @@ def score_toxicity(docs: DataFrame, index: Index, doc_id: str = "doc_id", text:
     near = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bare = index.calibrated(index.prior)
-        known: dict[tuple, tuple] = {}
+        judge = Judge(index)
         for batch in slices_by_bytes(batches, "text"):
-            scores, evidence = [], []
-            for t in batch.column(1).to_pylist():
-                vector = index.vector(_words(t)) if t else {}
-                if not vector or not index.doc_ids:
-                    scores.append(bare)
-                    evidence.append([])
-                    continue
-                key = tuple(vector.items())
-                if key not in known:
-                    if len(known) > 10_000:
-                        known.clear()
-                    places, cosines = index.nearest(vector, NEIGHBOURS)
-                    shown = [(index.doc_ids[p], float(c), int(index.toxic[p])) for p, c in zip(places[:SHOWN], cosines)]
-                    known[key] = index.calibrated(index.vote(places, cosines)), shown
-                score, shown = known[key]
-                scores.append(score)
-                evidence.append(shown)
-            rows = [[dict(zip(("doc_id", "cosine", "toxic"), x)) for x in shown] for shown in evidence]
+            judged = [judge(t) for t in batch.column(1).to_pylist()]
+            rows = [[dict(zip(("doc_id", "cosine", "toxic"), x)) for x in shown] for _, shown in judged]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array(rows, pa.list_(near))],
+                [batch.column(0), pa.array([s for s, _ in judged], pa.float64()), pa.array(rows, pa.list_(near))],
                 names=["doc_id", "score", "neighbours"],
             )
 
@@ -307,3 +313,15 @@ def score_toxicity(docs: DataFrame, index: Index, doc_id: str = "doc_id", text:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         "neighbours",
     )
+
+
+def keep_clean(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
+    """The rows that score under THRESHOLD, with all their columns."""
+    judges: list[Judge] = []  # one per worker, made there
+
+    def clean(texts: list[str | None]) -> list[bool]:
+        if not judges:
+            judges.append(Judge(index))
+        return [judges[0](t)[0] < THRESHOLD for t in texts]
+
+    return keep_rows(docs, clean, text)
