@@ -3,8 +3,7 @@
 1. Texts with equal shingle sets become one set.
 2. Sets that share a shingle of their prefixes are candidates; a set's prefix is its
    rarest shingles, as many as two similar sets must share one of.
-3. Each set is first compared with one other, the smallest set that shares most of
-   its prefix. That joins groups of near copies at a cost linear in their size.
+3. Each set is first compared with one other, a set that shares most of its prefix. That joins groups of near copies at a cost linear in their size.
 4. Pairs of sets that are not yet in one component are compared next, all of them,
    so no link between components is lost, and pairs inside one are never listed.
 
@@ -268,18 +267,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     prefixes = prefixes.join(reps.select("sid", "n", "rep", "node"), ["rep", "node"]).dropDuplicates(["rep", "node"])
     last = F.col("n") - F.ceil(F.lit(2 * NUMERATOR) * F.col("n") / DENOMINATOR)  # index_length - 1
     postings = prefixes.select("n", "sid", F.posexplode_outer("prefix").alias("pos", "token"))
-    postings = postings.select("token", "n", "sid", (F.col("pos") <= last).alias("indexed"))
+    postings = postings.select("token", "n", "sid", "pos", (F.col("pos") <= last).alias("indexed"))
     shared = postings.groupBy("token").count().filter("count > 1").select("token")
     postings = staged(postings.join(shared, "token"), "near-postings")
 
-    # One comparison for each set, with the smallest set of most of its shingles.
+    # One comparison for each set, with the set that most of its shingles lead to: of each
+    # shingle the one with the fewest rarer ones, which is the least changed of near copies.
     me = F.struct("n", "sid")
-    first = postings.groupBy("token").agg(F.min(me).alias("first"))
-    fits = 5 * F.col("first.n") >= 4 * F.col("n")
-    tries = postings.join(first, "token").filter((F.col("first.sid") != F.col("sid")) & fits)
-    tries = tries.groupBy(me.alias("right"), F.col("first").alias("left")).count()
-    best = tries.groupBy("right").agg(F.max_by("left", F.struct("count", "left")).alias("left"))
-    links = links_among(docs, best, reps, doc_id, text)
+    hub = postings.groupBy("token").agg(F.min(F.struct("pos", "n", "sid")).alias("hub"))
+    hub = hub.select("token", F.struct("hub.n", "hub.sid").alias("hub"))
+    fits = 5 * F.least("n", "hub.n") >= 4 * F.greatest("n", "hub.n")
+    tries = postings.join(hub, "token").filter((F.col("hub.sid") != F.col("sid")) & fits)
+    tries = tries.groupBy(me.alias("me"), "hub").count()
+    best = tries.groupBy("me").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    ordered = best.select(F.least("me", "hub").alias("left"), F.greatest("me", "hub").alias("right")).distinct()
+    links = links_among(docs, ordered, reps, doc_id, text)
 
     # All other pairs that are not in one component yet.
     known = components(links).withColumnRenamed("id", "sid")
@@ -287,12 +289,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     open_ = staged(open_, "near-open")
     mixed = open_.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = open_.join(mixed.filter("low != high").select("token"), "token")
-    small = open_.filter("indexed").select("token", me.alias("left"), F.col("component").alias("left_component"))
-    large = open_.select("token", me.alias("right"), F.col("component").alias("right_component"))
+    small = open_.filter("indexed").select("token", me.alias("left"), F.col("component").alias("left_component"), F.col("pos").alias("left_pos"))
+    large = open_.select("token", me.alias("right"), F.col("component").alias("right_component"), F.col("pos").alias("right_pos"))
+    # Of the first shared shingle, neither set's rarer ones are shared, so this much is left to share.
+    room = F.least(F.col("left.n") - F.col("left_pos"), F.col("right.n") - F.col("right_pos"))
     apart = (
         (F.col("left_component") != F.col("right_component"))
         & (F.col("left") < F.col("right"))
         & (5 * F.col("left.n") >= 4 * F.col("right.n"))
+        & (DENOMINATOR * room >= NUMERATOR * (F.col("left.n") + F.col("right.n")))
     )
     others = small.join(large, "token").filter(apart).select("left", "right").distinct()
     links = links.unionByName(links_among(docs, others, reps, doc_id, text))
