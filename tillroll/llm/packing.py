@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -26,9 +27,8 @@ END_ID = 1
 PART_PIECES = 50_000  # pieces of a partition in the first round, in expectation
 POOLED = 16  # partitions whose open bins meet in one pool
 OPEN_BINS = 4  # that each wasted bin opens, besides the emptiest one
-_CACHED_WORDS = 700_000
-_MARKS = ".,;:!?"
-_plain_word = re.compile("[a-zß-öø-ÿа-яёα-ω]+")
+_CACHED_WORDS = 1_000_000
+_plain_word = re.compile(r"([a-zß-öø-ÿа-яёα-ω]+)([!-&(-/:;=-@\[-`{-~]*)")  # letters, then marks but \x27 and <
 
 
 class WordIds:
@@ -55,43 +55,47 @@ class WordIds:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        words = []
-        for text in texts:
-            data = text.encode()
-            words.append((data if b"<|" in data else data.lower()).split())
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, given in UTF-8."""
+        words = [(text if b"<|" in text else text.lower()).split() for text in texts]
         if len(self.cache) > _CACHED_WORDS:
             self.cache.clear()
-        missing = set().union(*words).difference(self.cache)
-        if missing:
-            self._learn(missing)
-        return [b"".join(map(self.cache.__getitem__, w)) for w in words]
+        every = list(chain.from_iterable(words))
+        ids = list(map(self.cache.get, every))
+        gaps = [i for i, known in enumerate(ids) if known is None]
+        if gaps:
+            self._learn({every[i] for i in gaps})
+            for i in gaps:
+                ids[i] = self.cache[every[i]]
+        ends = list(accumulate(map(len, words)))
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _learn(self, words: set[bytes]) -> None:
-        parts = []
-        for word in words:
+        marked = []
+        fresh = {word for word in words if word.isalpha() and word.islower()}  # for bytes, ASCII alone
+        for word in words - fresh:
             text = word.decode()
-            letters = text.rstrip(_MARKS)
-            if _plain_word.fullmatch(letters):
-                parts.append((word, letters.encode(), word[len(letters.encode()) :]))
-            else:
+            form = _plain_word.fullmatch(text if "Σ" in text else text.lower())
+            if form is None:
                 self.cache[word] = self._whole(text)
-        fresh = sorted({letters for _, letters, _ in parts} - self.cache.keys())
-        if fresh:
-            joined = self.plain.encode_batch_fast([" ".join(w.decode() for w in fresh)], add_special_tokens=False)
+                continue
+            letters, marks = form[1].encode(), form[2].encode()
+            marked.append((word, letters, marks))
+            fresh.add(letters)
+        order = [word for word in fresh if word not in self.cache]
+        if order:
+            joined = self.plain.encode_batch_fast([b" ".join(order).decode()], add_special_tokens=False)
             ids = np.array(joined[0].ids, dtype="<u4")
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
-            if len(ends) != len(fresh):
+            ends = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+            if len(ends) != len(order):
                 raise ValueError("the tokenizer did not keep words apart")
             data = ids.tobytes()
-            for word, a, b in zip(fresh, [0, *ends], ends):
-                self.cache[word] = data[4 * a : 4 * b]
-        for word, letters, marks in parts:
-            if marks:
-                if marks not in self.cache:
-                    self.cache[marks] = self._whole(marks.decode())
-                self.cache[word] = self.cache[letters] + self.cache[marks]
+            for word, a, b in zip(order, [0, *ends], ends):
+                self.cache[word] = data[a:b]
+        for word, letters, marks in marked:
+            if marks not in self.cache:
+                self.cache[marks] = self._whole(marks.decode())
+            self.cache[word] = self.cache[letters] + self.cache[marks]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -106,7 +110,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
     tokenizer: path of the vocabulary file, the same on every executor. Null and
     empty texts are one piece with END_ID alone; repeated rows are texts of their own.
     """
-    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    frame = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +119,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
         encoder = _encoders[tokenizer]
         for batch in slices_by_bytes(batches, "text"):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
+            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
                 ids += end
                 for j, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
                     part = ids[at : at + 4 * CAPACITY]
