@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from tillroll.operators.clean import clean_lines
 from tillroll.schemas import RAW_LINES
 from tillroll.sources.delimited import read_lines, read_lines_inferred, write_lines
@@ -10,9 +12,9 @@ NOON = dt.datetime(2010, 5, 1, 12, 0, 7, 999_000)
 MIDNIGHT = dt.datetime(2010, 5, 1)
 
 
-def write(spark, tmp_path, *rows):
+def write(spark, tmp_path, *rows, **options):
     path = str(tmp_path / "lines")
-    write_lines(spark.createDataFrame(list(rows), RAW_LINES), path)
+    write_lines(spark.createDataFrame(list(rows), RAW_LINES), path, **options)
     return path
 
 
@@ -30,7 +32,9 @@ def test_hard_texts_survive(spark, tmp_path):
 
 
 def test_line_break_needs_multi_line(spark, tmp_path):
-    path = write(spark, tmp_path, line(Description="two\nlines"), line())
+    with pytest.raises(Exception, match="Line break inside a field"):
+        write(spark, tmp_path / "refused", line(Description="two\nlines"))
+    path = write(spark, tmp_path, line(Description="two\nlines"), line(), line_breaks=True)
     got = read_lines(spark, path, multi_line=True)
     assert sorted(r.Description for r in got.collect()) == ["LIGHTS", "two\nlines"]
     assert got.transform(clean_lines).count() == 2

@@ -96,7 +96,7 @@ def test_nothing_to_measure_is_zero(spark):
     bare = {"run_label": "r"}
     nulls = document("r", [{"label": None, "duration_sec": None}], None)
     for row in measured(spark, document("r", [], None), bare, nulls).collect():
-        assert tuple(row)[2:] == (0.0, 0.0, 0.0, 0.0)
+        assert tuple(row)[3:] == (0.0, 0.0, 0.0, 0.0)
 
 
 def test_action_without_label_is_work(spark):
@@ -117,6 +117,20 @@ def test_last_file_wins(spark, tmp_path):
     assert [(r.run_label, r.time_total_sec, r.time_work_sec) for r in got] == [("same", 0.5, 2.0)]
 
 
+def test_last_document_of_one_file_wins_however_fast_it_was(spark, tmp_path):
+    slow = document("same", [action(TOP, 9.0)], 9.0) | {"document_no": 1}
+    fast = document("same", [action(TOP, 1.0)], 1.0) | {"document_no": 2}
+    for lines in ([slow, fast], [fast, slow]):
+        (tmp_path / "x_metrics.json").write_text("\n".join(map(json.dumps, lines)))
+        got = run_summary(read_run_documents(spark, str(tmp_path), one_per_file=False)).collect()
+        assert [(r.run_label, r.time_total_sec, r.time_work_sec) for r in got] == [("same", 1.0, 1.0)]
+
+
+def test_every_measure_rounds_ties_to_even(spark):
+    row = measured(spark, document("r", [action(COUNT, 0.0625), action(TOP, 0.3125, 0.125)], 0.1875)).first()
+    assert tuple(row)[3:] == (0.188, 0.062, 0.312, 0.12)
+
+
 def test_order_known_then_unknown(spark):
     labels = ["zeta", "3DataNode", "alpha", "1DataNode_opt", None]
     df = spark.createDataFrame([(n,) for n in labels], "run_label string")
@@ -163,7 +177,7 @@ def test_document_of_results(spark, tmp_path):
         optimizations=F.struct(F.lit(True).alias("explicit_schema")),
     )
     write_run_documents(made, str(tmp_path / "out"))
-    back = read_run_documents(spark, str(tmp_path / "out"), "*.json", one_per_file=False).first()
+    back = read_run_documents(spark, str(tmp_path / "out"), ".", one_per_file=False).first()
     assert (back.run_label, back.row_count, back.app_name) == ("mine", 2, "retail")
     assert back.optimizations.explicit_schema is True
     assert [tuple(c) for c in back.samples.top_countries_by_revenue] == [("B", 1, 7.0, 7.0), ("A", 1, 5.0, 5.0)]

@@ -109,14 +109,17 @@ def test_catalog(spark):
          ("w", "r3", "/xl/worksheets/c.xml"), ("w", "r9", "styles.xml")],
         "workbook string, rel_id string, target string",
     )
-    got = {r.name: r.part for r in sheets.sheet_catalog(found, relations).collect()}
+    parts = spark.createDataFrame([("w", f"xl/worksheets/{x}.xml") for x in "abc"], "workbook string, part string")
+    got = {r.name: r.part for r in sheets.sheet_catalog(found, relations, parts).collect()}
     assert got == {
         "One": "xl/worksheets/a.xml",
         "Two": "xl/worksheets/b.xml",
         "Three": "xl/worksheets/c.xml",
     }
     with pytest.raises(PySparkException, match="No relation for sheet: Two"):
-        sheets.sheet_catalog(found, relations.filter("rel_id <> 'r2'")).collect()
+        sheets.sheet_catalog(found, relations.filter("rel_id <> 'r2'"), parts).collect()
+    with pytest.raises(PySparkException, match="No part for sheet: Three"):
+        sheets.sheet_catalog(found, relations, parts.filter("part not like '%c.xml'")).collect()
 
 
 def resolve(spark, *cells):
@@ -154,9 +157,7 @@ def test_missing_shared_string_fails(spark):
         resolve(spark, cell("A1", t="s", raw="7")).collect()
 
 
-@pytest.mark.parametrize("limit", [200, 0], ids=["pivot", "array"])
-def test_rows_have_gaps_and_fixed_width(spark, monkeypatch, limit):
-    monkeypatch.setattr(sheets, "_PIVOT_WIDTH", limit)
+def test_rows_have_gaps_and_fixed_width(spark):
     resolved = resolve(
         spark,
         cell("C1", raw="c", no=1),
@@ -197,6 +198,23 @@ def test_added_columns_are_reserved(spark):
     assert sheets.column_names(["row_no", "x", "sourcesheet"]) == ["row_no0", "x", "sourcesheet2"]
 
 
+def test_made_names_are_free(spark):
+    for header in (["a", "a", "a1"], ["", "_c0"], ["x", "X", "x1", "x1_1"], ["_c1", ""]):
+        names = [name.lower() for name in sheets.column_names(header)]
+        assert len(set(names)) == len(names)
+
+
+def test_every_cell_comes_out_of_wide_rows(spark):
+    """As many texts come out as cells went in, on columns up to three letters."""
+    letters = ["A", "Z", "AA", "BZ", "ZZ", "AAB"]
+    cells = [cell(f"{x}{row}", raw=f"{x}{row}", row=row, no=n) for row in range(1, 40) for n, x in enumerate(letters) if (row + n) % 3]
+    rows = sheets.rows_from_cells(resolve(spark, *cells)).collect()
+    assert sum(text != "" for r in rows for text in r.row) == len(cells)
+    wide = sheets.columns_from_cells(resolve(spark, *cells), 80).collect()
+    kept = [c for c in cells if c[4].rstrip("0123456789") in ("A", "Z", "AA", "BZ")]
+    assert sum(bool(r[f"c{i}"]) for r in wide for i in range(80)) == len(kept) and len(wide) == 39
+
+
 def test_hot_style_hot_sheet_and_many_idle_cells(spark):
     """Most cells share one date style in one sheet; results are whole all the same."""
     cells = spark.range(6_000).select(
@@ -212,9 +230,9 @@ def test_hot_style_hot_sheet_and_many_idle_cells(spark):
     )
     strings = spark.createDataFrame([("w", 0, "zero")], STRINGS)
     styles = spark.createDataFrame([("w", 5)], STYLES)
-    resolved = sheets.resolve_cells(cells, strings, styles)
     catalog = spark.createDataFrame([("w", 1, "One", "p")], "workbook string, sheet_no int, name string, part string")
-    got = sheets.union_sheets(resolved, catalog, ["a"])
+    resolved = sheets.resolve_cells(sheets.place_cells(cells, catalog), strings, styles)
+    got = sheets.union_sheets(resolved, ["a"])
     assert got.count() == 5_999
     assert got.filter("a = 'text'").count() == 1_999
     assert got.filter("row_no = 3 and a = '1900-01-01'").count() == 1

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from zipfile import ZipFile
 
 import pytest
 
@@ -9,7 +10,7 @@ from tillroll.plans.ingest import ingest_workbooks
 from tillroll.plans.retail import country_revenue
 from tillroll.schemas import RAW_LINES
 from tillroll.sources.delimited import read_lines, write_lines
-from tillroll.sources.workbooks import read_workbook_records, split_records
+from tillroll.sources.workbooks import decode_workbooks, read_workbook_records, split_records
 
 HEADER = RAW_LINES.names[:-1]
 TEXTS = shared(*HEADER, "EIRE", ("United ", "Kingdom"), 'LAMP 6", RED', "")
@@ -114,6 +115,24 @@ def test_targets_and_foreign_parts(spark, tmp_path):
     assert [(r.h, r.SourceSheet) for r in got.collect()] == [("1", "One"), ("2", "Two")]
 
 
+def test_lost_part_fails(spark, tmp_path):
+    write_book(tmp_path / "whole.xlsx", {"One": sheet([c("A1", "h")]), "Two": sheet([c("A1", "h")], [c("A2", "2")])})
+    with ZipFile(tmp_path / "whole.xlsx") as whole, ZipFile(tmp_path / "cut.xlsx", "w") as cut:
+        for name in whole.namelist():
+            if not name.endswith("sheet2.xml"):
+                cut.writestr(name, whole.read(name))
+    assert ingest_workbooks(spark, str(tmp_path / "whole.xlsx")).count() == 1
+    with pytest.raises(Exception, match="No part for sheet: Two"):
+        ingest_workbooks(spark, str(tmp_path / "cut.xlsx")).collect()
+
+
+def test_parts_are_decoded_once_whatever_the_fan_out(spark, tmp_path):
+    retail_book(tmp_path / "retail.xlsx")
+    files = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "content")
+    kinds = [sorted(map(str, decode_workbooks(files, n).collect())) for n in (1, 2, 7)]
+    assert kinds[0] == kinds[1] == kinds[2]
+
+
 def test_no_strings_and_no_styles_part(spark, tmp_path):
     write_book(tmp_path / "b.xlsx", {"S": sheet([c("A1", "h")], [c("A2", "40148", s=14)])})
     assert ingest_workbooks(spark, str(tmp_path / "b.xlsx")).first().h == "40148"

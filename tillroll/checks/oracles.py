@@ -60,6 +60,25 @@ ORACLES["line_revenue"] = f"""
 WITH {_LINES} SELECT invoice_no, stock_code, price, revenue FROM priced
 """
 ORACLES["country_revenue"] = f"WITH {_LINES} {_COUNTRY}"
+_EXACT = """
+exact AS (SELECT country, source_sheet, invoice_ts, CAST(revenue AS DECIMAL(18, 2)) AS revenue FROM clean)
+"""
+ORACLES["country_revenue_exact"] = f"""
+WITH {_LINES}, {_EXACT}
+SELECT country, count(*) AS orders, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+       round(CAST(sum(revenue) AS DOUBLE) / count(revenue), 2) AS avg_revenue
+FROM exact GROUP BY country ORDER BY total_revenue DESC, country LIMIT 10
+"""
+_BOTH = """
+top AS (SELECT country AS name, orders, total_revenue AS revenue FROM ({country})),
+months AS (SELECT invoice_month AS name, orders, monthly_revenue AS revenue FROM ({month} LIMIT 12)),
+both_questions AS (SELECT 'country' AS question, * FROM top UNION ALL SELECT 'month', * FROM months)
+"""
+ORACLES["layouts_compared"] = f"""
+WITH {_LINES}, {_BOTH.format(country=_COUNTRY, month=_MONTH)}
+SELECT layout, question, name, orders, revenue
+FROM both_questions CROSS JOIN (VALUES ('by key'), ('even'), ('clustered')) AS layouts(layout)
+"""
 ORACLES["monthly_revenue"] = f"WITH {_LINES} {_MONTH} LIMIT 12"
 ORACLES["monthly_revenue_all"] = f"WITH {_LINES} {_MONTH}"
 ORACLES["csv_infer_roundtrip"] = ORACLES["clean_lines"]
@@ -128,21 +147,24 @@ order_rows AS (
          CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE c_name END AS customer,
          strftime(o_orderdate, '%Y-%m-%d') AS order_date,
          CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS total,
-         CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderpriority END AS priority
+         CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderpriority END AS priority,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'beyond the header' ELSE '' END AS beyond
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 )
 """
 
+_BETWEEN = ", ".join(f"'' AS c{i}" for i in range(5, 26))
+
 ORACLES["cells_to_rows"] = f"""
 WITH {_ORDER_ROWS},
 heads AS (SELECT DISTINCT workbook, sheet_no FROM order_rows)
 SELECT workbook, 'xl/worksheets/sheet' || CAST(sheet_no AS VARCHAR) || '.xml' AS part, row_no,
-       order_id AS c0, customer AS c1, order_date AS c2, total AS c3, priority AS c4, '' AS c5
+       order_id AS c0, customer AS c1, order_date AS c2, total AS c3, priority AS c4, {_BETWEEN}, beyond AS c26
 FROM order_rows
 UNION ALL
 SELECT workbook, 'xl/worksheets/sheet' || CAST(sheet_no AS VARCHAR) || '.xml', 1,
        'order_id' || again, 'customer' || again, 'order_date' || again, 'total' || again,
-       'priority' || again, ''
+       'priority' || again, {_BETWEEN}, ''
 FROM (SELECT *, CASE WHEN sheet_no = 1 THEN '' ELSE ' again' END AS again FROM heads)
 """
 
@@ -170,11 +192,20 @@ SELECT order_id, customer, order_date, total, priority,
 FROM order_rows
 """
 
+ORACLES["workbook_decode"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+       CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS total, o_orderpriority AS priority,
+       CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus || ' inline' END AS remark,
+       'Month ' || strftime(o_orderdate, '%m') AS "SourceSheet",
+       'orders-' || o_orderstatus || '-' || strftime(o_orderdate, '%Y') || '-' || CAST(o_orderkey % 4 AS VARCHAR) AS workbook
+FROM orders
+"""
+
 _ACTIONS = """
 actions AS (
-  SELECT CAST(user_id AS VARCHAR) AS run_label,
-         'block-' || lpad(CAST(event_id // 1000 AS VARCHAR), 12, '0') || '_'
-                  || CAST(user_id AS VARCHAR) AS file,
+  SELECT CASE WHEN user_id IN (3, 7) AND event_id // 1000 < 2 THEN CAST(user_id AS VARCHAR)
+              ELSE CAST(user_id AS VARCHAR) || '-' || CAST(event_id // 1000 AS VARCHAR) END AS run_label,
+         'run-' || run_label AS file, event_id // 1000 AS document_no,
          CAST(row_number() OVER (PARTITION BY user_id, event_id // 1000 ORDER BY ts, event_id) - 1
               AS INTEGER) AS pos,
          CASE event_type WHEN 'view' THEN 'count input rows'
@@ -187,19 +218,19 @@ actions AS (
   FROM events
 ),
 measures AS (
-  SELECT file, run_label,
-         round(sum(duration_sec), 3) AS time_total_sec,
-         round(coalesce(
+  SELECT file, document_no, run_label,
+         round_even(sum(duration_sec), 3) AS time_total_sec,
+         round_even(coalesce(
            nullif(arg_min(duration_sec, pos) FILTER (WHERE label = 'materialize cached dataframe'), 0),
            arg_min(duration_sec, pos) FILTER (WHERE label = 'count input rows'), 0), 3)
            AS time_preprocess_sec,
-         round(coalesce(sum(duration_sec) FILTER (
+         round_even(coalesce(sum(duration_sec) FILTER (
            WHERE label NOT IN ('count input rows', 'materialize cached dataframe')), 0), 3)
            AS time_work_sec,
-         round(arg_max(CASE WHEN event_type = 'error' THEN 0.0::DOUBLE
+         round_even(arg_max(CASE WHEN event_type = 'error' THEN 0.0::DOUBLE
                             ELSE CAST(k AS DOUBLE) + CAST(k AS DOUBLE) / 10 END, pos), 2)
            AS ram_consumption_mb
-  FROM actions GROUP BY file, run_label
+  FROM actions GROUP BY file, document_no, run_label
 )
 """
 
@@ -208,6 +239,12 @@ WITH {_ACTIONS}
 SELECT run_label, pos, label, duration_sec, event_id AS job_id FROM actions
 """
 
+ORACLES["run_documents_by_glob"] = """
+SELECT 'block-' || CAST(event_id // 1000 AS VARCHAR) AS run_label, count(*) AS n_actions,
+       round_even(sum(value), 3) AS time_total_sec
+FROM events GROUP BY 1
+"""
+
 ORACLES["run_stage_tasks"] = f"""
 WITH {_ACTIONS}
 SELECT file, run_label, pos, label, event_id AS job_id, 2 * event_id AS stage_id,
@@ -238,12 +275,14 @@ ORDER BY run_rank, run_label
 
 ORACLES["run_summary"] = f"""
 WITH {_ACTIONS},
-latest AS (SELECT run_label, max(file) AS file FROM measures GROUP BY run_label)
+latest AS (SELECT run_label, max(document_no) AS document_no FROM measures GROUP BY run_label)
 SELECT run_label, time_total_sec, time_preprocess_sec, time_work_sec, ram_consumption_mb
-FROM measures JOIN latest USING (run_label, file)
+FROM measures JOIN latest USING (run_label, document_no)
 ORDER BY {_RANK}, run_label
 """
 
+ORACLES["run_summary_written"] = ORACLES["run_summary"]
+
 ORACLES["run_executor_memory"] = """
 WITH status AS (
   SELECT event_id, 434031820 AS max_bytes,
@@ -273,7 +312,7 @@ samples AS (
   SELECT 'month', row_number() OVER (ORDER BY source_sheet, invoice_month) - 1,
          invoice_month, orders, monthly_revenue FROM months
 )
-SELECT 'retail' AS run_label, (SELECT count(*) FROM lineitem) AS row_count,
+SELECT 'retail' AS run_label, (SELECT count(*) FROM lines) AS row_count,
        sample, CAST(position AS INTEGER) AS position, name, orders, revenue
 FROM samples
 """

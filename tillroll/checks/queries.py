@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.checks import views
+from tillroll.checks import books, views
+from tillroll.checks.scratch import use_local_scratch
 from tillroll.functions import runs as run_functions
 from tillroll.functions import sheet as sheet_functions
 from tillroll.operators import layout, runs, sheets
@@ -16,7 +18,7 @@ from tillroll.operators.revenue import row_count
 from tillroll.plans import retail
 from tillroll.plans.ingest import stacked_sheets
 from tillroll.plans.run_report import run_document, run_summary
-from tillroll.sources import delimited, documents
+from tillroll.sources import delimited, documents, workbooks
 from tillroll.sources.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +27,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            use_local_scratch(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         return function
 
     return register
@@ -40,8 +47,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("raw_row_count")
 def raw_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The retail view has one row per lineitem row, so the count needs no join.
-    return row_count(views.table(spark, sf_dir, "lineitem"))
+    return row_count(views.retail_lines(spark, sf_dir))
 
 
 @query("clean_row_count")
@@ -80,6 +86,11 @@ def monthly_revenue_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retail.monthly_revenue(_clean(spark, sf_dir), k=None)
 
 
+@query("country_revenue_exact")
+def country_revenue_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retail.answer_all(views.retail_lines(spark, sf_dir), exact=True).countries
+
+
 @query("csv_infer_roundtrip")
 def csv_infer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "lines-csv")
@@ -104,6 +115,36 @@ def layout_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
         return staged(retail.country_revenue(cached), "country-revenue")
 
 
+@query("layouts_compared")
+def layouts_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both questions over the same lines in each layout: by key, spread evenly, clustered."""
+    lines = staged(_clean(spark, sf_dir).select(*layout.QUERY_COLUMNS), "lines-to-lay-out")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layouts = {
+        "by key": layout.partition_by_key(lines, "country", partitions),
+        "even": layout.spread_evenly(lines, partitions),
+        "clustered": staged(layout.cluster_by(lines, "country"), "lines-by-country"),
+    }
+    answers = []
+    for name, laid_out in layouts.items():
+        countries = retail.country_revenue(laid_out).select(
+            F.lit(name).alias("layout"),
+            F.lit("country").alias("question"),
+            F.col("country").alias("name"),
+            "orders",
+            F.col("total_revenue").alias("revenue"),
+        )
+        months = retail.monthly_revenue(laid_out).select(
+            F.lit(name).alias("layout"),
+            F.lit("month").alias("question"),
+            F.col("invoice_month").alias("name"),
+            "orders",
+            F.col("monthly_revenue").alias("revenue"),
+        )
+        answers += [countries, months]
+    return reduce(DataFrame.unionByName, answers)
+
+
 # --- workbooks ----------------------------------------------------------------
 
 
@@ -141,6 +182,14 @@ def serial_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("workbook_decode")
+def workbook_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook files made from orders inside tasks, decoded, and stacked again."""
+    files = staged(books.order_workbooks(views.table(spark, sf_dir, "orders")), "workbook-files")
+    records = staged(workbooks.decode_workbooks(files), "workbook-records", "kind")
+    return stacked_sheets(workbooks.split_records(records)).drop("sheet_no", "row_no")
+
+
 @query("cells_to_rows")
 def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = views.workbook_tables(spark, sf_dir)
@@ -149,7 +198,7 @@ def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         sheets.assemble_strings(tables.string_runs),
         sheets.date_styles(tables.styles, tables.formats),
     )
-    return sheets.columns_from_cells(resolved, 6)
+    return sheets.columns_from_cells(resolved, 27)  # up to column AA, the last one used
 
 
 @query("ragged_rows")
@@ -163,7 +212,7 @@ def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sheet_catalog")
 def sheet_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.sheet_catalog(*views.sheet_relations(spark, sf_dir))
+    return sheets.sheet_catalog(*views.sheet_relations(views.order_sheets(spark, sf_dir)))
 
 
 @query("sheet_union")
@@ -178,7 +227,7 @@ def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_actions_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "run-documents")
     documents.write_run_documents(views.run_documents(spark, sf_dir).drop("file"), path)
-    scanned = documents.read_run_documents(spark, path, pattern="*.json", one_per_file=False)
+    scanned = documents.read_run_documents(spark, path, name=".", one_per_file=False)
     return runs.flatten_actions(scanned).select(
         "run_label",
         "pos",
@@ -229,6 +278,30 @@ def run_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(views.run_documents(spark, sf_dir), PREFERRED_USERS)
 
 
+@query("run_summary_written")
+def run_summary_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "run-summary")
+    summary = run_summary(views.run_documents(spark, sf_dir), PREFERRED_USERS)
+    documents.write_run_summary(summary, path)
+    return documents.read_run_summary(spark, path)
+
+
+@query("run_documents_by_glob")
+def run_documents_by_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-file documents found by name, beside a summary that has to be passed over."""
+    path = staging_path(spark, "run-files")
+    made = views.block_documents(spark, sf_dir)
+    folder = F.concat("run_label", F.lit("_metrics.json"))
+    made.withColumn("run", folder).repartition("run").write.partitionBy("run").json(path)
+    made.select("run_label", F.lit(0.0).alias("total_runtime_sec")).write.json(f"{path}/run=comparison_summary.json")
+    scanned = documents.read_run_documents(spark, path)
+    return scanned.select(
+        "run_label",
+        F.size("actions").cast("long").alias("n_actions"),
+        run_functions.total_time(F.col("total_runtime_sec")).alias("time_total_sec"),
+    )
+
+
 @query("run_executor_memory")
 def run_executor_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = views.executor_status(spark, sf_dir)
@@ -250,7 +323,7 @@ def run_document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = staging_path(spark, "run-document")
     documents.write_run_documents(document, path)
-    scanned = documents.read_run_documents(spark, path, pattern="*.json", one_per_file=False)
+    scanned = documents.read_run_documents(spark, path, name=".", one_per_file=False)
     samples = F.concat(
         F.transform(
             "samples.top_countries_by_revenue",

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tillroll.sources.staging import staged
 from tillroll.sources.workbooks import WorkbookTables
 
-
-_schemas: dict[str, T.StructType] = {}
+# --- fixed values: columns of the given tables that the views read ---------------
+_TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_returnflag string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+# -----------------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its footers are read for the schema only the first time."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A given table by its fixed schema; no footer is read before the query runs."""
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +137,14 @@ def _exploded_cells(rows: DataFrame, cells) -> DataFrame:
     )
 
 
-def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`workbook, sheet_no` of the order workbooks, written once for all that derive from it."""
+    orders = table(spark, sf_dir, "orders")
+    pairs = orders.select(_workbook().alias("workbook"), _sheet_no().alias("sheet_no")).distinct()
+    return staged(pairs, "order-sheets")
+
+
+def sheet_cells(spark: SparkSession, sf_dir: str, sheets: DataFrame) -> DataFrame:
     """Cells of the order workbooks: plain, shared, date and inline ones, ragged and gapped.
 
     The customer is missing on every tenth order and the priority on low ones;
@@ -155,11 +168,7 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = orders.withColumns(
         {"workbook": _workbook(), "part": _part(_sheet_no()), "row_no": F.col("o_orderkey") + 2}
     )
-    heads = orders.select(
-        _workbook().alias("workbook"),
-        _sheet_no().alias("sheet_no"),
-        F.lit(1).cast("long").alias("row_no"),
-    ).distinct()
+    heads = sheets.withColumn("row_no", F.lit(1).cast("long"))
     # only the first sheet's header counts; the others get texts of their own
     names = F.when(F.col("sheet_no") == 1, F.array(*[F.lit(n) for n in _HEADER])).otherwise(
         F.transform(F.array(*[F.lit(n) for n in _HEADER]), lambda n: F.concat(n, F.lit(" again")))
@@ -183,9 +192,9 @@ def string_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("workbook", "idx", F.posexplode(runs).alias("run_no", "text"))
 
 
-def order_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def order_styles(sheets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Styles and formats of the order workbooks: 0 general, 1 money, 2 a custom date."""
-    books = table(spark, sf_dir, "orders").select(_workbook().alias("workbook")).distinct()
+    books = sheets.select("workbook").distinct()
     fmt_ids = F.array(F.lit(0), F.lit(4), F.lit(164))
     styles = books.select("workbook", F.posexplode(fmt_ids).alias("s", "fmt_id"))
     formats = books.select("workbook", F.lit(164).alias("fmt_id"), F.lit("DD/MM/YYYY").alias("code"))
@@ -194,15 +203,17 @@ def order_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def workbook_tables(spark: SparkSession, sf_dir: str) -> WorkbookTables:
     """The order workbooks as if they had been decoded."""
-    styles, formats = order_styles(spark, sf_dir)
-    sheets, relations = sheet_relations(spark, sf_dir)
+    found = order_sheets(spark, sf_dir)
+    styles, formats = order_styles(found)
+    sheets, relations, parts = sheet_relations(found)
     return WorkbookTables(
-        cells=sheet_cells(spark, sf_dir),
+        cells=sheet_cells(spark, sf_dir, found),
         string_runs=string_runs(spark, sf_dir),
         formats=formats,
         styles=styles,
         sheets=sheets,
         relations=relations,
+        parts=parts,
     )
 
 
@@ -220,14 +231,9 @@ def part_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return styles, part.select("workbook", F.col("p_size").alias("fmt_id"), code.alias("code"))
 
 
-def sheet_relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Sheets of the order workbooks and their parts: relative, prefixed and absolute targets."""
-    sheets = (
-        table(spark, sf_dir, "orders")
-        .select(_workbook().alias("workbook"), _sheet_no().alias("sheet_no"))
-        .distinct()
-        .withColumn("rel_id", F.concat(F.lit("rId"), F.col("sheet_no").cast("string")))
-    )
+def sheet_relations(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sheets of the order workbooks, their relative, prefixed and absolute targets, and the parts."""
+    sheets = found.withColumn("rel_id", F.concat(F.lit("rId"), F.col("sheet_no").cast("string")))
     part = _part(F.col("sheet_no"))
     target = (
         F.when(F.col("sheet_no") % 3 == 0, F.concat(F.lit("/"), part))
@@ -238,7 +244,7 @@ def sheet_relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     named = sheets.select(
         "workbook", "sheet_no", F.concat(F.lit("Year "), year.cast("string")).alias("name"), "rel_id"
     )
-    return named, sheets.select("workbook", "rel_id", target.alias("target"))
+    return named, sheets.select("workbook", "rel_id", target.alias("target")), sheets.select("workbook", part.alias("part"))
 
 
 def cell_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +283,7 @@ LABEL_OF_EVENT = {
     "signup": "monthly revenue by source sheet",
 }
 EVENTS_PER_FILE = 1_000
+REPEATED_USERS = [3, 7]
 
 
 def _stage(stage_id, name, tasks):
@@ -326,8 +333,10 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per user and block of 1,000 event ids, one action per event.
 
     The block bounds a document at 1,000 actions however many events a user
-    has. A user's blocks are files of the same run label. Only five narrow
-    fields per event are exchanged; the nested actions are built after it.
+    has. A document's label is its user and block; only the first two blocks of the
+    users in REPEATED_USERS share their user's label, and stand in one file in
+    order. Only five narrow fields per event are exchanged; the nested actions are
+    built after it.
     """
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
@@ -340,10 +349,13 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("row_count"),
     )
     user = F.col("user_id").cast("string")
-    block = F.lpad(F.col("block").cast("string"), 12, "0")
+    repeated = F.col("user_id").isin(REPEATED_USERS) & (F.col("block") < 2)
+    of_block = F.concat(user, F.lit("-"), F.col("block").cast("string"))
+    label = F.when(repeated, user).otherwise(of_block)
     return documents.select(
-        F.concat(F.lit("block-"), block, F.lit("_"), user).alias("file"),
-        user.alias("run_label"),
+        F.concat(F.lit("run-"), label).alias("file"),
+        label.alias("run_label"),
+        F.col("block").cast("long").alias("document_no"),
         F.lit("retail").alias("app_name"),
         "total_runtime_sec",
         "row_count",
@@ -351,6 +363,22 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def block_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per block of 1,000 event ids, one action with label and seconds per event."""
+    events = table(spark, sf_dir, "events").select(
+        F.expr(f"event_id div {EVENTS_PER_FILE}").alias("block"), "event_id", "event_type", "value"
+    )
+    action = F.struct("event_id", F.col("event_type").alias("label"), F.col("value").alias("duration_sec"))
+    grouped = events.groupBy("block").agg(
+        F.sort_array(F.collect_list(action)).alias("actions"), F.sum("value").alias("total_runtime_sec")
+    )
+    return grouped.select(
+        F.concat(F.lit("block-"), F.col("block").cast("string")).alias("run_label"),
+        F.transform("actions", lambda a: F.struct(a["label"].alias("label"), a["duration_sec"].alias("duration_sec"))).alias("actions"),
+        "total_runtime_sec",
+    )
+
+
 def executor_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two executors' storage status in bytes per event."""
     k = F.get_json_object("props", "$.k").cast("long")

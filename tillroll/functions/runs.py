@@ -1,7 +1,8 @@
 """Expressions over the `actions` array of one run-metrics document.
 
 A document is one row, so its measures are plain column expressions: no
-explode, no shuffle, and sums in the document's own order.
+explode, no shuffle, and sums in the document's own order. Every measure rounds an
+exact tie to the even digit.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 # --- fixed values: action labels and the order of known runs ------------------
 COUNT_LABEL = "count input rows"
 CACHE_LABEL = "materialize cached dataframe"
+TOP_LABEL = "top countries by revenue"
+MONTHS_LABEL = "monthly revenue by source sheet"
 PREFERRED_RUNS = [
     "1DataNode",
     "1DataNode_opt",
@@ -25,6 +28,9 @@ PREFERRED_RUNS = [
 UNKNOWN_RANK = 999
 # -----------------------------------------------------------------------------
 
+#: Our own step: the scan that reduces all lines to groups. It is work, not preparation.
+GROUPS_LABEL = "reduce lines to groups"
+
 
 def _total(values: Column) -> Column:
     return F.aggregate(
@@ -38,7 +44,7 @@ def first_duration(actions: Column, label: str) -> Column:
     """Seconds of the first action with this label; 0 if there is none."""
     position = F.nullif(F.array_position(actions["label"], label), F.lit(0))
     found = F.try_element_at(actions["duration_sec"], position.cast("int"))
-    return F.round(F.coalesce(found, F.lit(0.0)), 3)
+    return F.bround(F.coalesce(found, F.lit(0.0)), 3)
 
 
 def preparation_time(actions: Column) -> Column:
@@ -54,18 +60,18 @@ def work_time(actions: Column) -> Column:
         F.arrays_zip(actions["label"].alias("label"), actions["duration_sec"].alias("sec")),
         lambda action: ~F.coalesce(F.array_contains(prepares, action["label"]), F.lit(False)),
     )
-    return F.round(_total(worked["sec"]), 3)
+    return F.bround(_total(worked["sec"]), 3)
 
 
 def storage_memory(actions: Column) -> Column:
     """Storage megabytes of all executors at the last action; 0 if unknown."""
     executors = actions["memory_snapshot"]["executors"]
     last = F.try_element_at(executors, F.lit(-1))
-    return F.round(_total(last["used_mb"]), 2)
+    return F.bround(_total(last["used_mb"]), 2)
 
 
 def total_time(seconds: Column) -> Column:
-    return F.round(F.coalesce(seconds, F.lit(0.0)), 3)
+    return F.bround(F.coalesce(seconds, F.lit(0.0)), 3)
 
 
 def run_rank(run_label: Column, preferred: Sequence[str] = PREFERRED_RUNS) -> Column:

@@ -23,12 +23,17 @@ def _revenue_sum(exact: bool) -> Column:
 
     The plain double sum is the default. `exact=True` adds up decimals instead:
     the total then does not depend on task order, at the price of a wider
-    aggregation buffer, and a line beyond 16 integer digits fails the job.
+    aggregation buffer, and a line beyond 16 integer digits fails the job, with
+    ANSI mode on or off.
     """
+    return F.sum(_exact_revenue()).cast("double") if exact else F.sum("revenue")
+
+
+def _exact_revenue() -> Column:
     revenue = F.col("revenue")
-    if exact:
-        return F.sum(revenue.cast("decimal(18,2)")).cast("double")
-    return F.sum(revenue)
+    exact = revenue.try_cast("decimal(18,2)")
+    problem = F.raise_error(F.concat(F.lit("No exact decimal for the revenue "), revenue.cast("string")))
+    return F.when(revenue.isNotNull() & exact.isNull(), problem.cast("decimal(18,2)")).otherwise(exact)
 
 
 def revenue_by_country(lines: DataFrame, exact: bool = False) -> DataFrame:
@@ -64,14 +69,17 @@ def revenue_by_sheet_month(lines: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-def revenue_groups(normalized: DataFrame) -> DataFrame:
+def revenue_groups(normalized: DataFrame, exact: bool = False) -> DataFrame:
     """The smallest table that answers both questions and both counts from one scan.
 
     One row per country, sheet and month of the sales, `sale` being true, and
     one row for all other lines together: `sale, country, source_sheet, month,
-    lines, revenue`. Its size depends on countries and months, not on lines.
+    lines, revenue`. Its size depends on countries and months, not on lines. With
+    `exact` the revenue is a decimal, so that the sums of these sums are exact too.
     """
     sale = F.coalesce(is_sale(), F.lit(False))
+    counted = F.when(F.col("sale"), _exact_revenue()) if exact else F.col("revenue")
+    revenue = F.sum(counted)
     flagged = normalized.select(
         sale.alias("sale"), "country", "source_sheet", "invoice_ts", "revenue"
     )
@@ -82,7 +90,7 @@ def revenue_groups(normalized: DataFrame) -> DataFrame:
     }
     return flagged.groupBy(
         "sale", *[F.when(F.col("sale"), key).alias(name) for name, key in keys.items()]
-    ).agg(F.count("*").alias("lines"), F.sum("revenue").alias("revenue"))
+    ).agg(F.count("*").alias("lines"), revenue.alias("revenue"))
 
 
 def counts_of_groups(groups: DataFrame) -> DataFrame:
@@ -95,7 +103,7 @@ def counts_of_groups(groups: DataFrame) -> DataFrame:
 
 def countries_of_groups(groups: DataFrame) -> DataFrame:
     """`revenue_by_country` of the lines behind the groups."""
-    total, lines = F.sum("revenue"), F.sum("lines")
+    total, lines = F.sum("revenue").cast("double"), F.sum("lines")
     return (
         groups.filter("sale")
         .groupBy("country")
@@ -111,7 +119,8 @@ def months_of_groups(groups: DataFrame) -> DataFrame:
     """`revenue_by_sheet_month` of the lines behind the groups."""
     months = groups.filter("sale").groupBy("source_sheet", "month")
     return months.agg(
-        F.sum("lines").alias("orders"), F.round(F.sum("revenue"), 2).alias("monthly_revenue")
+        F.sum("lines").alias("orders"),
+        F.round(F.sum("revenue").cast("double"), 2).alias("monthly_revenue"),
     ).select(
         "source_sheet",
         invoice_month(F.col("month")).alias("invoice_month"),

@@ -62,10 +62,11 @@ def flatten_stages(documents: DataFrame) -> DataFrame:
 
 
 def run_measures(documents: DataFrame) -> DataFrame:
-    """The four measures of each document, row by row."""
+    """The four measures of each document, row by row, with its place among all documents."""
     actions = F.col("actions")
     return documents.select(
         "file",
+        F.coalesce("document_no", F.lit(0)).alias("document_no"),
         "run_label",
         total_time(F.col("total_runtime_sec")).alias("time_total_sec"),
         preparation_time(actions).alias("time_preprocess_sec"),
@@ -75,9 +76,13 @@ def run_measures(documents: DataFrame) -> DataFrame:
 
 
 def latest_by_label(measures: DataFrame) -> DataFrame:
-    """One row per run label; where files share a label, the last file by name wins."""
-    values = [c for c in measures.columns if c not in ("file", "run_label")]
-    last = F.max(F.struct("file", *values)).alias("last")
+    """One row per run label: of documents that share it, the last by file and document number.
+
+    The measures take no part in the order, unless two documents have one place.
+    """
+    place = ["file", "document_no"]
+    values = [c for c in measures.columns if c not in (*place, "run_label")]
+    last = F.max(F.struct(*place, *values)).alias("last")
     return (
         measures.groupBy("run_label")
         .agg(last)

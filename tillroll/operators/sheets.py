@@ -20,13 +20,9 @@ from tillroll.schemas import SHEET_COLUMN
 #: `row_no` counts the row elements of a sheet from here.
 FIRST_ROW = 1
 
-# Copies of each small lookup row; its users are dealt over the copies, so a
-# style or sheet shared by most rows still spreads over this many tasks.
-_SALTS = 16
-# Cells without a lookup get one of this many keys that match nothing.
-_IDLE_KEYS = 1 << 20
-# Beyond this width a row is assembled as an array instead of column by column.
-_PIVOT_WIDTH = 50
+#: Copies of each shared string in the string lookup; the cells that show a string
+#: are dealt over its copies. Adaptive execution splits what is still too large.
+STRING_COPIES = 8
 _POSITION = ["workbook", "sheet_no", "row_no"]
 
 
@@ -56,167 +52,134 @@ def date_styles(styles: DataFrame, formats: DataFrame) -> DataFrame:
     )
 
 
-def sheet_catalog(sheets: DataFrame, relations: DataFrame) -> DataFrame:
+def sheet_catalog(sheets: DataFrame, relations: DataFrame, parts: DataFrame) -> DataFrame:
     """`(workbook, sheet_no, name, part)`: sheets with the part that holds their rows.
 
-    A target may be relative to `xl/` or absolute. A sheet without its relation
-    fails the job rather than losing its rows.
+    A target may be relative to `xl/` or absolute. A sheet without its relation, or
+    whose part is not among the container's `parts` (`workbook, part`), fails the
+    job rather than losing its rows. A sheet without rows is no failure.
     """
     target = F.ltrim(F.col("target"), F.lit("/"))
     part = F.when(target.startswith("xl/"), target).otherwise(F.concat(F.lit("xl/"), target))
-    problem = F.raise_error(F.concat(F.lit("No relation for sheet: "), F.col("name")))
-    return sheets.join(relations, ["workbook", "rel_id"], "left").select(
+
+    def problem(text: str) -> Column:
+        return F.raise_error(F.concat(F.lit(text), F.col("name"))).cast("string")
+
+    related = sheets.join(relations, ["workbook", "rel_id"], "left").withColumn(
+        "part", F.when(F.col("target").isNull(), problem("No relation for sheet: ")).otherwise(part)
+    )
+    present = parts.select("workbook", "part").distinct().withColumn("present", F.lit(True))
+    return related.join(present, ["workbook", "part"], "left").select(
         "workbook",
         "sheet_no",
         "name",
-        F.when(F.col("target").isNull(), problem.cast("string")).otherwise(part).alias("part"),
+        F.when(F.col("present"), F.col("part")).otherwise(problem("No part for sheet: ")).alias("part"),
     )
 
 
-def _deal(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(_SALTS)).cast("int")
+def place_cells(cells: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Adds `sheet_no` and `sheet` to cells; parts that are no sheet of the workbook go.
 
-
-def _copies() -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    The catalog has a row per sheet, and Catalyst broadcasts it while it is small.
+    Placing narrow cells leaves nothing to join once rows are assembled.
+    """
+    return cells.join(catalog.withColumnRenamed("name", "sheet"), ["workbook", "part"])
 
 
 def resolve_cells(cells: DataFrame, strings: DataFrame, date_styles: DataFrame) -> DataFrame:
-    """`(workbook, part, row_no, cell_no, col, value)`: column and text of each cell.
+    """Column (`col`) and text (`value`) of each cell, with `row_no`, `cell_no` and where it stands.
 
-    Both lookups, shared string by index and date style by style number, are
-    one left join, since a cell needs at most one of them. Skew: style lookups
-    are salted; cells that look nothing up are dealt over keys of their own
-    instead of meeting at one null key; a string that very many cells share is
-    left to adaptive execution, which splits the cells' side of this join.
+    Only cells that show a shared string go through the string lookup; the others
+    meet the date styles, a table of a few rows per workbook that Catalyst can
+    broadcast by itself. A string that very many cells show has STRING_COPIES
+    copies, and its cells are dealt over them by their position.
     """
+    place = [c for c in ("workbook", "part", "sheet_no", "sheet", "row_no", "cell_no") if c in cells.columns]
     has_raw = F.col("raw").isNotNull()
-    by_index = (F.col("t").eqNullSafe("s")) & has_raw
+    by_index = F.coalesce((F.col("t") == "s") & has_raw, F.lit(False))
     by_text = (F.col("t").eqNullSafe("inlineStr")) & F.col("inline").isNotNull()
-    by_style = ~by_index & ~by_text & has_raw
 
-    lookup = strings.select(
-        "workbook",
-        F.lit("string").alias("kind"),
-        F.col("idx").cast("long").alias("key"),
-        F.lit(0).alias("salt"),
-        F.col("text").alias("found"),
-    ).unionByName(
-        date_styles.select(
-            "workbook",
-            F.lit("style").alias("kind"),
-            F.col("s").cast("long").alias("key"),
-            _copies().alias("salt"),
-            F.lit("").alias("found"),
-        )
-    )
-    idle = -1 - F.pmod(F.xxhash64("part", "row_no", "cell_no"), F.lit(_IDLE_KEYS))
-    keyed = cells.select(
-        "*",
-        F.when(by_index, "string").otherwise("style").alias("kind"),
-        F.when(by_index, F.col("raw").cast("long"))
-        .when(by_style, F.coalesce(F.col("s"), F.lit(0)).cast("long"))
-        .otherwise(idle)
-        .alias("key"),
-        F.when(by_style, _deal("row_no")).otherwise(0).alias("salt"),
-    )
-    found = keyed.join(lookup, ["workbook", "kind", "key", "salt"], "left")
-    # steps of their own, so that each is computed once per cell
-    serial = F.when(by_style & F.col("found").isNotNull(), F.col("raw").try_cast("double"))
-    moments = found.withColumn("serial", serial).withColumn(
-        "moment", serial_to_timestamp(F.col("serial"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(STRING_COPIES - 1))).alias("copy")
+    lookup = strings.select("workbook", F.col("idx").cast("long").alias("idx"), "text", copies)
+    shown = cells.filter(by_index).select(
+        *place,
+        "ref",
+        "raw",
+        F.col("raw").cast("long").alias("idx"),
+        F.pmod(F.xxhash64("part", "row_no", "cell_no"), F.lit(STRING_COPIES)).cast("int").alias("copy"),
     )
     no_string = F.raise_error(F.concat(F.lit("No shared string "), F.col("raw"))).cast("string")
-    text = (
-        F.when(by_index, F.coalesce(F.col("found"), no_string))
-        .when(by_text, F.col("inline"))
-        # text under a date style is no serial number and stays as it is
-        .otherwise(F.coalesce(timestamp_text(F.col("moment")), F.col("raw"), F.lit("")))
-    )
-    return moments.select(
-        "workbook",
-        "part",
-        "row_no",
-        "cell_no",
-        column_index(F.col("ref")).alias("col"),
-        text.alias("value"),
+    shared = shown.join(lookup, ["workbook", "idx", "copy"], "left").select(
+        *place, "ref", F.when(F.col("text").isNull(), no_string).otherwise(F.col("text")).alias("value")
     )
 
+    dates = date_styles.select("workbook", "s").distinct().withColumn("is_date", F.lit(True))
+    styled = cells.filter(~by_index).withColumn("s", F.coalesce("s", F.lit(0))).join(dates, ["workbook", "s"], "left")
+    # steps of their own, so that each is computed once per cell
+    serial = F.when(F.col("is_date") & ~by_text, F.col("raw").try_cast("double"))
+    moments = styled.withColumn("serial", serial).withColumn("moment", serial_to_timestamp(F.col("serial")))
+    # text under a date style is no serial number and stays as it is
+    plain = F.coalesce(timestamp_text(F.col("moment")), F.col("raw"), F.lit(""))
+    others = moments.select(*place, "ref", F.when(by_text, F.col("inline")).otherwise(plain).alias("value"))
+    return shared.unionByName(others).select(*place, column_index(F.col("ref")).alias("col"), "value")
 
-def rows_from_cells(resolved: DataFrame) -> DataFrame:
-    """`(workbook, part, row_no, row)`: an array of texts per worksheet row, gaps `""`.
 
-    Rows are ragged: an array ends at the last cell present. A column given
-    twice keeps its later cell. A record with a null `ref` marks a row without
-    cells and yields an empty array. A group is one worksheet row, which the
+def _row_keys(resolved: DataFrame) -> list[str]:
+    return [c for c in ("workbook", "part", "sheet_no", "sheet", "row_no") if c in resolved.columns]
+
+
+def rows_from_cells(resolved: DataFrame, width: int | None = None) -> DataFrame:
+    """The row's keys and `row`: an array of texts per worksheet row, gaps `""`.
+
+    Rows are ragged: an array ends at the last cell present, or below `width`. A
+    column given twice keeps its later cell. A record with a null `ref` marks a row
+    without cells and yields an empty array. What is exchanged are the cells that a
+    row has, however wide the sheet is; a group is one worksheet row, which the
     file format bounds.
     """
-    keys = ["workbook", "part", "row_no"]
-    cells = F.sort_array(
-        F.collect_list(F.when(F.col("col").isNotNull(), F.struct("col", "cell_no", "value")))
-    )
-    # cells come sorted, so each one cuts the row at its column and is appended
-    row = F.aggregate(
+    inside = F.col("col").isNotNull() if width is None else F.col("col") < width
+    # of a null struct collect_list keeps nothing, so a row of no such cells is an empty list
+    cell = F.when(inside, F.struct("col", "cell_no", "value"))
+    grouped = resolved.groupBy(*_row_keys(resolved)).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    cells = F.col("cells")
+    last = F.filter(cells, lambda c, i: ~F.get(cells["col"], i + 1).eqNullSafe(c["col"]))
+    kept = grouped.withColumn("cells", last)
+    # each cell brings the gap before it, so the row is built in one pass
+    with_gaps = F.transform(
         cells,
-        F.array().cast("array<string>"),
-        lambda row, cell: F.concat(
-            F.slice(row, F.lit(1), cell["col"]),
-            F.array_repeat(F.lit(""), cell["col"] - F.size(row)),
-            F.array(cell["value"]),
+        lambda c, i: F.concat(
+            F.array_repeat(F.lit(""), c["col"] - F.coalesce(F.get(cells["col"], i - 1), F.lit(-1)) - 1),
+            F.array(c["value"]),
         ),
     )
-    return resolved.groupBy(*keys).agg(row.alias("row"))
+    return kept.select(*_row_keys(resolved), F.flatten(with_gaps).alias("row"))
 
 
 def columns_from_cells(resolved: DataFrame, width: int) -> DataFrame:
-    """`(workbook, part, row_no, c0 ...)`: cells pivoted onto `width` known columns.
+    """The row's keys and `c0 ...`: cells on `width` known columns.
 
-    Gaps are `""`; cells beyond the width are dropped; a column given twice
-    keeps its later cell. The cells of one row are usually read by one task,
-    which combines them before the exchange.
+    Gaps are `""`; cells beyond the width are dropped before the exchange; a column
+    given twice keeps its later cell.
     """
-    keys = ["workbook", "part", "row_no"]
     names = [f"c{i}" for i in range(width)]
-    if width > _PIVOT_WIDTH:
-        return columns_from_rows(rows_from_cells(resolved), names, keep=keys)
-    later = [
-        F.max(F.when(F.col("col") == i, F.struct("cell_no", "value"))).alias(name)
-        for i, name in enumerate(names)
-    ]
-    wide = resolved.groupBy(*keys).agg(F.count("*").alias("cells"), *later)
-    return wide.select(
-        *keys, *[F.coalesce(F.col(f"{name}.value"), F.lit("")).alias(name) for name in names]
-    )
-
-
-def name_sheets(rows: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Adds `sheet_no` and `sheet` to rows; parts that are no sheet of the workbook go.
-
-    The catalog side is copied per salt, so one huge sheet is not one task.
-    """
-    return (
-        rows.withColumn("salt", _deal("row_no"))
-        .join(
-            catalog.withColumnRenamed("name", "sheet").withColumn("salt", _copies()),
-            ["workbook", "part", "salt"],
-        )
-        .drop("salt")
-    )
+    return columns_from_rows(rows_from_cells(resolved, width), names, keep=_row_keys(resolved))
 
 
 def column_names(header: Sequence[str]) -> list[str]:
     """Header texts as column names: `_cN` for a blank, the position added to a repeat.
 
-    A name that the union adds itself counts as repeated.
+    A name that the union adds itself counts as repeated. Where a made name is
+    taken, also by a header further on, the position is added again until it is free.
     """
-    added = [SHEET_COLUMN, *_POSITION]
-    folded = [name.lower() for name in [*header, *added]]
+    folded = [name.lower() for name in [*header, SHEET_COLUMN, *_POSITION]]
+    taken = set(folded)
     names = []
     for position, name in enumerate(header):
-        if not name:
-            name = f"_c{position}"
-        elif folded.count(name.lower()) > 1:
-            name = f"{name}{position}"
+        if not name or folded.count(name.lower()) > 1:
+            name = f"{name or '_c'}{position}"
+            while name.lower() in taken:
+                name = f"{name}_{position}"
+            taken.add(name.lower())
         names.append(name)
     return names
 
@@ -260,13 +223,13 @@ def used_runs(cells: DataFrame, runs: DataFrame) -> DataFrame:
     return runs.join(shown, ["workbook", "idx"], "left_semi")
 
 
-def union_sheets(resolved: DataFrame, catalog: DataFrame, names: Sequence[str]) -> DataFrame:
-    """All sheets' rows below their first one, stacked by position, with the sheet's name.
+def union_sheets(resolved: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All placed cells' rows below their sheet's first one, stacked by position, with the sheet's name.
 
     `workbook, sheet_no, row_no` keep the original order, which a table has not.
     """
     body = columns_from_cells(resolved.filter(F.col("row_no") > FIRST_ROW), len(names))
-    return name_sheets(body, catalog).select(
+    return body.select(
         *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)],
         F.col("sheet").alias(SHEET_COLUMN),
         *_POSITION,

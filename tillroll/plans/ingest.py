@@ -11,7 +11,7 @@ from tillroll.operators.sheets import (
     date_styles,
     first_rows,
     header_names,
-    name_sheets,
+    place_cells,
     resolve_cells,
     rows_from_cells,
     sheet_catalog,
@@ -22,16 +22,19 @@ from tillroll.sources.staging import staged
 from tillroll.sources.workbooks import WorkbookTables, read_workbook_records, split_records
 
 
+def catalog_of(tables: WorkbookTables) -> DataFrame:
+    return sheet_catalog(tables.sheets, tables.relations, tables.parts)
+
+
 def header_of(tables: WorkbookTables) -> list[str]:
     """Column names of the stacked table, from first rows and the few strings they show."""
-    heads = first_rows(tables.cells)
+    heads = place_cells(first_rows(tables.cells), catalog_of(tables))
     resolved = resolve_cells(
         heads,
         assemble_strings(used_runs(heads, tables.string_runs)),
         date_styles(tables.styles, tables.formats),
     )
-    catalog = sheet_catalog(tables.sheets, tables.relations)
-    return header_names(name_sheets(rows_from_cells(resolved), catalog))
+    return header_names(rows_from_cells(resolved))
 
 
 def stacked_sheets(tables: WorkbookTables, columns: Sequence[str] | None = None) -> DataFrame:
@@ -39,21 +42,22 @@ def stacked_sheets(tables: WorkbookTables, columns: Sequence[str] | None = None)
     if columns is None:
         columns = header_of(tables)
     resolved = resolve_cells(
-        tables.cells,
+        place_cells(tables.cells, catalog_of(tables)),
         assemble_strings(tables.string_runs),
         date_styles(tables.styles, tables.formats),
     )
-    return union_sheets(resolved, sheet_catalog(tables.sheets, tables.relations), columns)
+    return union_sheets(resolved, columns)
 
 
 def ingest_workbooks(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, name: str = "workbook-records"
 ) -> DataFrame:
     """All sheets of all workbooks below `path`, stacked, with their provenance.
 
     The workbooks are decoded once, into a table in the shared staging folder,
     partitioned by kind of record. Give `columns` to skip the look at the
-    headers; like a CSV schema they then apply by position.
+    headers; like a CSV schema they then apply by position. `name` starts the
+    staged table's folder; a job that is done with the result can delete it.
     """
-    records = staged(read_workbook_records(spark, path), "workbook-records", "kind")
+    records = staged(read_workbook_records(spark, path), name, "kind")
     return stacked_sheets(split_records(records), columns)

@@ -36,14 +36,18 @@ class RetailAnswers(NamedTuple):
     months: DataFrame  # every sheet and month
 
 
-def answer_all(raw: DataFrame, k: int = 10) -> RetailAnswers:
+def group_lines(raw: DataFrame, exact: bool = False, name: str = "revenue-groups") -> DataFrame:
+    """The lines reduced once to `revenue_groups`, a small table in the shared folder."""
+    return staged(raw.transform(normalize_columns).transform(revenue_groups, exact), name)
+
+
+def answer_all(raw: DataFrame, k: int = 10, exact: bool = False) -> RetailAnswers:
     """Both counts and both answers from one scan of the raw lines.
 
-    Asked one by one, each of them scans the lines again. Here the lines are
-    reduced once to `revenue_groups`, a small table in the shared folder, and
-    the answers read that.
+    Asked one by one, each of them scans the lines again. Here they read what
+    `group_lines` left of the lines. `exact` adds up decimals, see `revenue_by_country`.
     """
-    groups = staged(raw.transform(normalize_columns).transform(revenue_groups), "revenue-groups")
+    groups = group_lines(raw, exact)
     return RetailAnswers(
         counts=counts_of_groups(groups),
         countries=top_by_revenue(countries_of_groups(groups), k),

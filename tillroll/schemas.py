@@ -122,6 +122,7 @@ MONTH_RESULT = T.StructType(
 RUN_DOCUMENT = T.StructType(
     [
         T.StructField("run_label", T.StringType()),
+        T.StructField("document_no", T.LongType()),  # our own: order among documents of one file
         T.StructField("app_name", T.StringType()),
         T.StructField("master", T.StringType()),
         T.StructField("input", T.StringType()),

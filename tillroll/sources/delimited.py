@@ -30,19 +30,26 @@ def read_lines_inferred(spark: SparkSession, path: str, multi_line: bool = False
     return spark.read.options(**_DIALECT, multiLine=multi_line, inferSchema=True).csv(path)
 
 
-def write_lines(df: DataFrame, path: str) -> None:
+def write_lines(df: DataFrame, path: str, line_breaks: bool = False) -> None:
     """Write a folder of UTF-8 parts, each with a header.
 
     Date-times are written as `yyyy-MM-dd`, with the time only if it is not
     midnight. Blanks around a text are kept. An empty text and a null are both
-    written as nothing, so both come back as null.
+    written as nothing, so both come back as null. A line break inside a field fails
+    the job unless `line_breaks` allows it, as only `multi_line=True` can read it back.
     """
     times = {
         f.name: timestamp_text(F.col(f"`{f.name}`"))
         for f in df.schema.fields
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
     }
-    df.withColumns(times).write.options(
+    problem = F.raise_error(F.lit("Line break inside a field; allow it with line_breaks=True")).cast("string")
+    texts = {
+        f.name: F.when(F.col(f"`{f.name}`").rlike("[\\r\\n]"), problem).otherwise(F.col(f"`{f.name}`"))
+        for f in df.schema.fields
+        if isinstance(f.dataType, T.StringType) and not line_breaks
+    }
+    df.withColumns(times | texts).write.options(
         **_DIALECT,
         emptyValue="",
         ignoreLeadingWhiteSpace=False,

@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 from tillroll.schemas import RUN_DOCUMENT
 
-# --- fixed value: how document files are named --------------------------------
-DOCUMENT_FILES = "*_metrics.json"
-# -----------------------------------------------------------------------------
+# --- fixed value: how document files, or the folders of their parts, are named ---
+DOCUMENT_NAMES = r"_metrics\.json(/[^/]*)?$"
+# ----------------------------------------------------------------------------------
+
+SUMMARY = (
+    "run_label string, time_total_sec double, time_preprocess_sec double, time_work_sec double, "
+    "ram_consumption_mb double"
+)
 
 
 def read_run_documents(
-    spark: SparkSession, path: str, pattern: str = DOCUMENT_FILES, one_per_file: bool = True
+    spark: SparkSession, path: str, name: str = DOCUMENT_NAMES, one_per_file: bool = True
 ) -> DataFrame:
-    """Documents below `path` with the file each came from.
+    """Documents below `path`, in folders of any depth, with the file each came from.
 
-    `one_per_file=True` reads whole-file objects, which cannot be split over
-    tasks. `False` reads JSON lines, the form `write_run_documents` writes.
+    Only files whose path matches `name` are documents: `x_metrics.json`, or the
+    parts of a folder of that name, the form in which jobs write one.
+    `one_per_file=True` reads whole-file objects, which cannot be split over tasks.
+    `False` reads JSON lines, the form `write_run_documents` writes.
     """
     reader = spark.read.schema(RUN_DOCUMENT).options(
-        multiLine=one_per_file, pathGlobFilter=pattern, mode="FAILFAST"
+        multiLine=one_per_file, recursiveFileLookup=True, pathGlobFilter="*.json", mode="FAILFAST"
     )
-    return reader.json(path).withColumn("file", F.col("_metadata.file_path"))
+    return reader.json(path).withColumn("file", F.col("_metadata.file_path")).filter(F.col("file").rlike(name))
 
 
 def write_run_documents(documents: DataFrame, path: str) -> None:
@@ -34,3 +41,7 @@ def write_run_documents(documents: DataFrame, path: str) -> None:
 def write_run_summary(summary: DataFrame, path: str) -> None:
     """One JSON object per run and line, each with its `run_label`."""
     summary.write.json(path)
+
+
+def read_run_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SUMMARY).json(path)

@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
-
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a session on a local master may leave the setting out; it then gets a
-    temporary folder that lives as long as the Python process. Elsewhere a
-    missing setting is an error, since a machine-local folder would be invisible
+    A missing setting is an error, since a machine-local folder would be invisible
     to the other executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if master not in _local_folders:
-            _local_folders[master] = tempfile.TemporaryDirectory(prefix="tillroll-")
-        folder = _local_folders[master].name
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -33,7 +23,7 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """Write once to the shared folder and read back.
 
     Unlike a cached table, the result does not need its inputs again when an
-    executor is lost. The caller owns the folder.
+    executor is lost. The caller owns the folder, see `delete_staged`.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
@@ -42,3 +32,13 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_staged(spark: SparkSession, name: str) -> None:
+    """Delete the tables that were staged under this name, for jobs that are done with them."""
+    folder = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}-" + "?" * 32)
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(pattern) or []:
+        files.delete(found.getPath(), True)

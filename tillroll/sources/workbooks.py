@@ -1,4 +1,4 @@
-"""Spreadsheet workbooks (.xlsx) as long tables, one workbook per task.
+"""Spreadsheet workbooks (.xlsx) as long tables, a record of parts at a time.
 
 Only the container is opened in Python. The records it yields are XML facts;
 what they mean (strings, dates, rows, headers) is decided by `operators.sheets`.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import partial
 from typing import NamedTuple
 from xml.etree import ElementTree
 from zipfile import ZipFile
@@ -20,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tillroll.schemas import WORKBOOK_RECORD
 
 _BATCH = 10_000
+FAN_OUT = 4  # tasks that share a workbook's parts
 _FIELDS = WORKBOOK_RECORD.fieldNames()
 
 # --- fixed values: part names of the file format ------------------------------
@@ -37,16 +39,26 @@ class WorkbookTables(NamedTuple):
     styles: DataFrame  # workbook, s, fmt_id
     sheets: DataFrame  # workbook, sheet_no, name, rel_id
     relations: DataFrame  # workbook, rel_id, target
+    parts: DataFrame  # workbook, part
 
 
 def read_workbook_records(spark: SparkSession, path: str) -> DataFrame:
-    """Decode a workbook or a folder of them into `WORKBOOK_RECORD` rows.
+    """Decode a workbook or a folder of them into `WORKBOOK_RECORD` rows."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    return decode_workbooks(files.select("path", "content"))
+
 
-    Files are packed into tasks by size like any other scan; a workbook is held
-    in memory compressed and its sheets are parsed as a stream.
+def decode_workbooks(files: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
+    """`WORKBOOK_RECORD` rows of workbooks given as `(path, content)`.
+
+    A workbook's parts are dealt over `fan_out` tasks by name, each of which opens
+    its own parts only and parses them as a stream; the container is held in memory
+    compressed. A container cannot be read in pieces, so each of its tasks gets all
+    of it.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
-    return files.select("path", "content").mapInArrow(_decode, WORKBOOK_RECORD)
+    shares = files.select("path", "content", F.explode(F.sequence(F.lit(0), F.lit(fan_out - 1))).alias("share"))
+    spread = shares.repartition("path", "share") if fan_out > 1 else shares
+    return spread.mapInArrow(partial(_decode, fan_out), WORKBOOK_RECORD)
 
 
 def split_records(records: DataFrame) -> WorkbookTables:
@@ -64,6 +76,7 @@ def split_records(records: DataFrame) -> WorkbookTables:
         styles=of("style", s="cell_no", fmt_id="s"),
         sheets=of("sheet", sheet_no="cell_no", name="raw", rel_id="ref"),
         relations=of("relation", rel_id="ref", target="raw"),
+        parts=of("part", part="part"),
     )
 
 
@@ -72,12 +85,12 @@ def _batch(records: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns, to_arrow_schema(WORKBOOK_RECORD))
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decode(fan_out: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pending: list[dict] = []
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content, share in zip(batch["path"], batch["content"], batch["share"]):
             workbook = path.as_py()
-            for record in _workbook_records(content.as_py()):
+            for record in _workbook_records(content.as_py(), share.as_py(), fan_out):
                 record["workbook"] = workbook
                 pending.append(record)
                 if len(pending) == _BATCH:
@@ -87,15 +100,18 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(pending)
 
 
-def _workbook_records(content: bytes) -> Iterator[dict]:
+def _workbook_records(content: bytes, share: int, fan_out: int) -> Iterator[dict]:
+    """The records of the parts that fall to this share; the first share has the short parts too."""
     with ZipFile(io.BytesIO(content)) as container:
-        parts = set(container.namelist())
-        yield from _sheet_list(container.read(_SHEETS), container.read(_RELATIONS))
-        if _STYLES in parts:
-            yield from _style_list(container.read(_STYLES))
-        for part in sorted(parts):
-            if not part.endswith(".xml") or part in (_STYLES, _SHEETS):
+        parts = sorted(container.namelist())
+        if share == 0:
+            yield from _sheet_list(container.read(_SHEETS), container.read(_RELATIONS))
+            if _STYLES in parts:
+                yield from _style_list(container.read(_STYLES))
+        for position, part in enumerate(parts):
+            if position % fan_out != share or not part.endswith(".xml") or part in (_STYLES, _SHEETS):
                 continue
+            yield {"kind": "part", "part": part}
             with container.open(part) as stream:
                 if part == _STRINGS:
                     yield from _shared_strings(stream)
