@@ -9,14 +9,22 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.staging import staged, staging_path
-
-__all__ = ["crc_fold", "keep_rows", "read_table", "slices_by_bytes", "staged", "staging_path"]
+from tillroll.checks.scratch import use_local_scratch
+from tillroll.sources import staging
 
 #: White space between words; the same bytes in UTF-8.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once to the folder in `spark.checkpoint.dir` and read back; see `staging.staged`.
+
+    Only a session on a local master may leave the setting out.
+    """
+    use_local_scratch(df.sparkSession)
+    return staging.staged(df, name)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
