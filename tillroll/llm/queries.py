@@ -91,4 +91,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+#: The operators that SQL can express over whole tables; tests hold the others against brute force.
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(words) >= 5
+           THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+           ELSE [] END AS shingles
+  FROM cut
+),
+sizes AS (SELECT doc_id, len(shingles) AS n FROM shingled),
+flat AS (SELECT doc_id, unnest(shingles) AS shingle FROM shingled),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+  FROM flat AS a JOIN flat AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes AS a ON x = a.doc_id JOIN sizes AS b ON y = b.doc_id
+  WHERE 100 * both_have >= 80 * (a.n + b.n - both_have)
+),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM sizes
+  UNION
+  SELECT y, root FROM reached JOIN links ON x = reached.doc_id
+)
+SELECT sizes.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM sizes JOIN reached ON reached.doc_id = sizes.doc_id
+GROUP BY sizes.doc_id, n
+""",
+}
