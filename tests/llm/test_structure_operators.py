@@ -150,6 +150,20 @@ def test_page_text(spark):
     assert html_text.fit_weights(pages.limit(0)) == {}
 
 
+def test_boilerplate_inside_and_around_an_article():
+    def text(body):
+        return html_text.extract(f"<html><body>{body}</body></html>", {})
+
+    story = "<p>One two three four five.</p><p>Six seven eight nine ten.</p>"
+    plain = "One two three four five.\nSix seven eight nine ten."
+    assert text(f"<div class='post-header'><h1>Title of it</h1></div>{story}") == "Title of it\n" + plain
+    assert text(f"<article><p class='ad'>Buy buy buy buy{story}</article>") == plain
+    assert text(f"<article>{story}</article><section id='user-comments'>{'<p>no no no no</p>' * 30}</section>") == plain
+    assert text(f"<main>{story}<ul class=share><li>Share</ul></main><aside>{'more ' * 80}</aside>") == plain
+    assert text(f"<div role='navigation'>{'<a>x y</a>' * 20}</div>{story}<div style='display:none'>hidden words</div>") == plain
+    assert text("<nav>only a menu</nav>") == ""
+
+
 def test_long_broken_page():
     page = "<p>" + "word " * 200_000 + "<b" + "<" * 1000 + "<a href='" + "x" * 100_000
     assert html_text.extract(page, {}).startswith("word word")

@@ -35,7 +35,7 @@ def crc_fold(doc_id, folds: int = 4):
 
 
 def slices_by_bytes(
-    batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of `column`, one row at least.
 
@@ -64,3 +64,46 @@ def keep_rows(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]], t
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
+
+
+class RecentResults:
+    """Results by key, in two generations: when the young one is full it becomes the old one.
+
+    Holds at most twice `most` results. What is asked for again moves to the young
+    generation, so common keys are never computed twice.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def __getitem__(self, key):
+        found = self.young.get(key)
+        if found is None:
+            self.young[key] = found = self.old[key]
+        return found
+
+    def __setitem__(self, key, value) -> None:
+        self.young[key] = value
+
+    def __contains__(self, key) -> bool:
+        return key in self.young or key in self.old
+
+    def find(self, keys: list, learn: Callable[[set], None]) -> list:
+        """The results of all keys in order; `learn` adds those of the keys that are missing."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, keys))
+        gaps = [i for i, result in enumerate(found) if result is None]
+        if gaps:
+            missing = {keys[i] for i in gaps}
+            if self.old:
+                again = missing & self.old.keys() if len(missing) > len(self.old) else {k for k in missing if k in self.old}
+                self.young.update((k, self.old[k]) for k in again)
+                missing -= again
+            if missing:
+                learn(missing)
+            for i in gaps:
+                found[i] = self.young[keys[i]]
+        return found

@@ -43,9 +43,10 @@ _BOILERPLATE_NAMES = {
     "notice": "cookie cookies notice consent gdpr popup modal alert newsletter subscribe subscription overlay paywall",
     "advert": "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion",
     "form": "form login signup search searchbox",
-    "comment": "comment comments commentlist reply replies respond disqus discussion",
+    "comment": "comment comments commentlist reply replies respond responses feedback disqus discussion",
     "share": "share sharing social",
 }
+_CONTENT_NAMES = frozenset("article post entry content story title headline".split())
 _ROLES = {"navigation": "menu", "banner": "header", "contentinfo": "footer", "complementary": "aside", "search": "form", "dialog": "notice", "alert": "notice", "alertdialog": "notice"}
 
 _KIND_OF = {name: kind for kind, names in _BOILERPLATE_NAMES.items() for name in names.split()}
@@ -78,9 +79,10 @@ def _kind(tag: str, attrs: str, in_article: bool) -> str | None:
         value = a or b or c
         if name.lower() == "role" and value.strip().lower() in _ROLES:
             return _ROLES[value.strip().lower()]
-        for part in _part.split(value):
-            kind = _KIND_OF.get(part.lower())
-            if kind and not (kind == "header" and in_article):
+        parts = [part.lower() for part in _part.split(value)]
+        for part in parts:
+            kind = _KIND_OF.get(part)
+            if kind and not (kind == "header" and (in_article or not _CONTENT_NAMES.isdisjoint(parts))):
                 return kind
     return None
 
@@ -115,6 +117,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, bool]]:
                 links = 0
             yield f"end {tag}", "", inside, articles > 0
             continue
+        if tag in _BLOCKS and stack and stack[-1][0] == "p":  # a block ends an open paragraph
+            stack.pop()
+            kind = next((k for _, k in stack if k), None)
         own = None if kind else _kind(tag, m["attrs"], articles > 0)
         yield (f"box {own}" if own else f"tag {tag}"), "", kind, articles > 0
         if tag in _BOXES or (own and tag in _BLOCKS):

@@ -31,6 +31,7 @@ from tillroll.llm.shingles import fingerprint, mix, shingle_sets
 NUMERATOR, DENOMINATOR = 4, 9
 BINS = 1 << 20  # of the shingle counts that order prefixes
 TILE_PAIRS = 1_024
+SLICE_BYTES = 1 << 20  # of text whose hashes are computed at a time
 FILTER_BITS = 1 << 24  # of the bitmap that says which texts are read again
 
 _NODE = "struct<x:bigint,y:bigint>"
@@ -63,7 +64,7 @@ def common_bins(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BINS, np.int64)
-        for batch in slices_by_bytes(batches, "text"):
+        for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             sets = shingle_sets(batch.column(0))
             every = np.concatenate([np.empty(0, np.uint64), *sets])
             counts += np.bincount((every & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
@@ -109,7 +110,7 @@ def shingled(docs: DataFrame, order: np.ndarray, doc_id: str = "doc_id", text: s
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
-        for batch in slices_by_bytes(batches, "text"):
+        for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             sets = shingle_sets(batch.column(1))
             prefixes = []
             for s in sets:
@@ -161,7 +162,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: st
     frame = _frame(docs, doc_id, text).withColumn("slot", _slot(F.col("doc_id")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices_by_bytes(batches, "text"):
+        for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             slot = batch.column(2).to_numpy(zero_copy_only=False)
             hit = (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
             batch = batch.filter(pa.array(hit.astype(bool)))

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices_by_bytes, staged
+from tillroll.llm.common import RecentResults, slices_by_bytes, staged
 
 CAPACITY = 4096
 END_ID = 1
 PART_PIECES = 50_000  # pieces of a partition in the first round, in expectation
 POOLED = 16  # partitions whose open bins meet in one pool
 OPEN_BINS = 4  # that each wasted bin opens, besides the emptiest one
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 250_000
 _plain_word = re.compile(r"([a-zß-öø-ÿа-яёα-ω]+)([!-&(-/:;=-@\[-`{-~]*)")  # letters, then marks but \x27 and <
 
 
@@ -53,20 +53,12 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = RecentResults(_CACHED_WORDS)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, given in UTF-8."""
         words = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        if len(self.cache) > _CACHED_WORDS:
-            self.cache.clear()
-        every = list(chain.from_iterable(words))
-        ids = list(map(self.cache.get, every))
-        gaps = [i for i, known in enumerate(ids) if known is None]
-        if gaps:
-            self._learn({every[i] for i in gaps})
-            for i in gaps:
-                ids[i] = self.cache[every[i]]
+        ids = self.cache.find(list(chain.from_iterable(words)), self._learn)
         ends = list(accumulate(map(len, words)))
         return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
 

@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices_by_bytes
+from tillroll.llm.common import RecentResults, slices_by_bytes
 
 SPACE = "▁"
 LONG_UNIT = 48  # characters from which a unit is relaxed by itself
-SLICE_BYTES = 2 << 20
-_CACHED_UNITS = 800_000
+SLICE_BYTES = 4 << 20
+MATCH_CHARACTERS = 1 << 20  # of the text that one suffix array indexes, in all but single longer units
+_CACHED_UNITS = 300_000
 
 
 class PieceModel:
@@ -53,33 +54,37 @@ class PieceModel:
         inner = [self.text[i] for i in normal if SPACE in self.text[i].lstrip(SPACE) or ("\n" in self.text[i] and self.text[i] != "\n")]
         if inner:
             raise ValueError("pieces that cross words are not supported")
-        self.cache: dict[str, bytes] = {}
+        self.cache = RecentResults(_CACHED_UNITS)
+        self.spelled = [
+            bytes([i - self.first_byte]) if self.is_byte[i] else b"" if self.is_control[i] else text.replace(SPACE, " ").encode()
+            for i, text in enumerate(self.text)
+        ]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         units = [_unit.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.cache) > _CACHED_UNITS:
-            self.cache.clear()
-        every = list(chain.from_iterable(units))
-        ids = list(map(self.cache.get, every))
-        fresh = list({unit for unit, known in zip(every, ids) if known is None})
-        if fresh:
-            self.cache.update(zip(fresh, self._match(fresh)))
-            ids = [self.cache[unit] if known is None else known for unit, known in zip(every, ids)]
+        ids = self.cache.find(list(chain.from_iterable(units)), self._learn)
         ends = list(accumulate(map(len, units)))
         return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids, without the space that encoding puts in front."""
-        parts = []
-        for i in ids.tolist():
-            if self.is_byte[i]:
-                parts.append(bytes([i - self.first_byte]))
-            elif not self.is_control[i]:
-                parts.append(self.text[i].encode())
-        text = b"".join(parts).decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
+    def _learn(self, units: set[str]) -> None:
+        """Match new units, a bounded number of characters at a time."""
+        group: list[str] = []
+        size = 0
+        for unit in units:
+            group.append(unit)
+            size += len(unit) + 1
+            if size > MATCH_CHARACTERS:
+                self.cache.young.update(zip(group, self._match(group)))
+                group, size = [], 0
+        if group:
+            self.cache.young.update(zip(group, self._match(group)))
+
     def _match(self, units: list[str]) -> list[bytes]:
         """The ids of each unit."""
         joined = "\0".join(units) + "\0"

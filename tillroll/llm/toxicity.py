@@ -36,7 +36,7 @@ SHOWN = 5  # neighbours given as evidence
 PRIOR_WEIGHT = 0.25  # of the share of toxic texts without any term, in each vote
 BLOCK = 64
 THRESHOLD = 0.3
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 150_000
 
 _letters = re.compile(r"[^\W\d_]+")
 
