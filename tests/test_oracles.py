@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tillroll.checks import views
 from tillroll.checks.oracles import ORACLES
 from tillroll.checks.queries import QUERIES
 
@@ -42,3 +43,20 @@ def test_query_equals_oracle(spark, sf_dir, database, name):
     got = canonical(frame.collect(), frame.columns)
     assert got == canonical(expected.fetchall(), expected.columns)
     assert got
+
+
+def test_the_run_view_keeps_every_action(spark, sf_dir):
+    """Each event is one action, and only the few repeated labels overwrite a document."""
+    documents = views.run_documents(spark, sf_dir).cache()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert documents.selectExpr("sum(size(actions))").first()[0] == events.count()
+    repeated = documents.groupBy("run_label").count().filter("count > 1").collect()
+    assert {r.run_label for r in repeated} <= {str(u) for u in views.REPEATED_USERS}
+    assert QUERIES["run_summary"](spark, sf_dir).count() == documents.count() - sum(r["count"] - 1 for r in repeated)
+
+
+def test_every_cell_of_the_view_is_in_a_row(spark, sf_dir):
+    cells = views.workbook_tables(spark, sf_dir).cells
+    rows = QUERIES["cells_to_rows"](spark, sf_dir)
+    texts = " + ".join(f"int(c{i} != '')" for i in range(27))
+    assert rows.selectExpr(f"sum({texts})").first()[0] == cells.count()
