@@ -61,6 +61,7 @@ _CLASSES = [
     "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 ]
 _SOUNDS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", *_CLASSES[3:]]
+_LEADING = ["01", "23456789"]
 _HEX_CLASSES = {False: ["0123456789abcdef"], True: ["0123456789ABCDEF"]}
 
 
@@ -148,9 +149,16 @@ def permute(key: bytes, form: str, x: int, size: int) -> int:
     return _steps(key, form, (_steps(key, form, x, size, False) + shift) % size, size, True)
 
 
-def _permuted(key: bytes, kind: str, text: str, classes: dict[str, str], fixed: set[int] = frozenset()) -> str | None:
-    """The text with the characters of known classes permuted; None if there is nothing to permute."""
+def _permuted(
+    key: bytes, kind: str, text: str, classes: dict[str, str], fixed: set[int] = frozenset(), leading: set[int] = frozenset()
+) -> str | None:
+    """The text with the characters of known classes permuted; None if there is nothing to permute.
+
+    fixed: places that stay. leading: digits that stay 0 or 1, or stay above.
+    """
     owns = [None if i in fixed else classes.get(c) for i, c in enumerate(text)]
+    for i in leading - fixed:
+        owns[i] = next(own for own in _LEADING if text[i] in own)
     form = kind + "\x1e" + "".join(own[0] if own else f"\x1d{c}" for own, c in zip(owns, text))
     x, size = 0, 1
     for own, c in zip(owns, text):
@@ -187,7 +195,9 @@ def _new_plain(kind: str, plain: str, key: bytes) -> str | None:
     if kind == "ip":
         return str(ipaddress.IPv4Address(permute(key, kind, int(ipaddress.IPv4Address(plain)), 1 << 32)))
     if kind == "phone":
-        return _permuted(key, kind, plain, _DIGITS, set(range(max(0, len(plain) - 10))))  # country code stays
+        area = len(plain) - 10  # the country code before it stays
+        leading = {area, area + 3} if area >= 0 else set()  # no area or exchange begins with 0 or 1
+        return _permuted(key, kind, plain, _DIGITS, set(range(max(0, area))), leading)
     if kind == "iban":
         return _permuted(key, kind, plain, _ANY, {0, 1})
     if kind == "key":
