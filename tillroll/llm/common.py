@@ -53,6 +53,7 @@ def slices_by_bytes(
             total += size
         if batch.num_rows > start:
             yield batch.slice(start)
+        pa.default_memory_pool().release_unused()  # a worker lives on between tasks
 
 
 def keep_rows(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]], text: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ END_ID = 1
 PART_PIECES = 50_000  # pieces of a partition in the first round, in expectation
 POOLED = 16  # partitions whose open bins meet in one pool
 OPEN_BINS = 4  # that each wasted bin opens, besides the emptiest one
-_CACHED_WORDS = 250_000
+_CACHED_WORDS = 500_000
 _plain_word = re.compile(r"([a-zß-öø-ÿа-яёα-ω]+)([!-&(-/:;=-@\[-`{-~]*)")  # letters, then marks but \x27 and <
 
 
@@ -109,7 +109,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
         if tokenizer not in _encoders:
             _encoders[tokenizer] = WordIds(tokenizer)
         encoder = _encoders[tokenizer]
-        for batch in slices_by_bytes(batches, "text"):
+        for batch in slices_by_bytes(batches, "text", 4 << 20):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
                 ids += end
