@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,8 +117,6 @@ def test_bitmaps_bound_the_overlap_from_above():
 
 
 def test_shingle_hashes_tell_words_apart():
-    import pyarrow as pa
-
     texts = ["a b c d e", "ab c d e f", "A B C D E", "a b c d e a b c d e", "", None, " x ", "é a b c d e"]
     sets = shingles.shingle_sets(pa.array(texts))
     assert [len(s) for s in sets] == [len(shingle_set(t)) for t in texts]
@@ -197,8 +196,6 @@ def test_conversations_round_trip(spark):
 
 def test_long_conversation_comes_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(chat, "PIECE_BYTES", 2_000)
-    import pyarrow as pa
-
     roles, texts = ["user", "assistant"] * 50, [f"text {i} " * 20 for i in range(100)]
     out, at, spans = chat.assemble(roles, pa.array(texts), np.array([True] + [False] * 99))
     data = out.tobytes()
@@ -238,10 +235,11 @@ def test_word_ids_equal_the_library():
     encoder, library = packing.WordIds(path), tokenizers.Tokenizer.from_file(path)
     rng = random.Random(5)
     letters = "abcXYZéÉßẞİΣσςΑжЖ'.,;:!?<>|_-#$%019  \x1c\x85́ﬁ你好K \n\t\0"
-    for _ in range(800):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
-        ids = np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist()
-        assert ids == library.encode(text, add_special_tokens=False).ids, text
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    for batch in (texts, [t.replace("<|", "") for t in texts], ["word, word. WORD!", "a-b it's 'll x's"], [""], []):
+        found = encoder.encode(pa.array([t.encode() for t in batch], pa.binary()))
+        expected = [library.encode(t, add_special_tokens=False).ids for t in batch]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
 
 
 def test_no_packing_beats_the_lower_bound():

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import RecentResults, slices_by_bytes, staged
+from tillroll.llm.shingles import span_hashes, spans_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -28,9 +29,31 @@ PART_PIECES = 50_000  # pieces of a partition in the first round, in expectation
 POOLED = 16  # partitions whose open bins meet in one pool
 OPEN_BINS = 4  # that each wasted bin opens, besides the emptiest one
 _CACHED_WORDS = 500_000
+_WORDS_AT_ONCE = 8_192
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(rb"""!"#$%&()*+,-./:;=>?@[\]^_`{|}~""")] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 _plain_word = re.compile(r"([a-zß-öø-ÿа-яёα-ω]+)([!-&(-/:;=-@\[-`{-~]*)")  # letters, then marks but \x27 and <
 
 
+def _without_marks(source: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans with the marks behind an ASCII letter or digit as spans of their own.
+
+    There the tokenizer starts a new group anyway, and words recur more often without them.
+    """
+    if not len(start):
+        return start, end
+    other = np.maximum.accumulate(np.where(_MARK[source], -1, np.arange(len(source))))
+    cut = other[end - 1] + 1
+    apart = (cut < end) & (cut > start)
+    apart[apart] = _ALNUM[source[cut[apart] - 1]]
+    starts = np.concatenate([start, cut[apart]])
+    ends = np.concatenate([np.where(apart, cut, end), end[apart]])
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order]
+
+
 class WordIds:
     """Token ids of texts, each distinct word encoded once.
 
@@ -55,8 +78,35 @@ class WordIds:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache = RecentResults(_CACHED_WORDS)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, given in UTF-8."""
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, given in UTF-8.
+
+        The distinct words of the batch, told apart by 64-bit hashes, are looked up
+        once; their ids are then gathered for all words in one step.
+        """
+        source, start, end, at = spans_of(texts)
+        data = source.tobytes()
+        if b"<|" in data:
+            return self._word_by_word(texts.to_pylist())
+        start, end = _without_marks(source, start, end)
+        hashes = span_hashes(source, start, end)
+        at = np.searchsorted(start, at)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        lowered = data.lower()
+        words = [lowered[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        found = self.cache.find(words, self._learn)
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        taken = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        place = np.repeat(begins[which] - ends[:-1], taken) + np.arange(ends[-1])
+        every = ids[place].tobytes()
+        cuts = (4 * ends[at]).tolist()
+        return [every[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _word_by_word(self, texts: list[bytes]) -> list[bytes]:
+        """The same where a special token may stand, whose letters must not be lowered."""
         words = [(text if b"<|" in text else text.lower()).split() for text in texts]
         ids = self.cache.find(list(chain.from_iterable(words)), self._learn)
         ends = list(accumulate(map(len, words)))
@@ -75,14 +125,15 @@ class WordIds:
             marked.append((word, letters, marks))
             fresh.add(letters)
         order = [word for word in fresh if word not in self.cache]
-        if order:
-            joined = self.plain.encode_batch_fast([b" ".join(order).decode()], add_special_tokens=False)
+        for at in range(0, len(order), _WORDS_AT_ONCE):  # the library's own structures are large
+            some = order[at : at + _WORDS_AT_ONCE]
+            joined = self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
             ids = np.array(joined[0].ids, dtype="<u4")
             ends = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
-            if len(ends) != len(order):
+            if len(ends) != len(some):
                 raise ValueError("the tokenizer did not keep words apart")
             data = ids.tobytes()
-            for word, a, b in zip(order, [0, *ends], ends):
+            for word, a, b in zip(some, [0, *ends], ends):
                 self.cache[word] = data[a:b]
         for word, letters, marks in marked:
             if marks not in self.cache:
@@ -109,9 +160,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
         if tokenizer not in _encoders:
             _encoders[tokenizer] = WordIds(tokenizer)
         encoder = _encoders[tokenizer]
-        for batch in slices_by_bytes(batches, "text", 4 << 20):
+        for batch in slices_by_bytes(batches, "text", 1 << 20):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.encode(batch.column(1))):
                 ids += end
                 for j, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
                     part = ids[at : at + 4 * CAPACITY]

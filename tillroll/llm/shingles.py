@@ -38,18 +38,19 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word of every text in order, and where each text's words start (and the last end).
+def spans_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, the start and end of every word in them, and where each text starts (and the last ends).
 
-    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered. A null text has none.
+    Words are `[^\\x20\\x09-\\x0D]+`. A null text has none.
     """
-    texts = texts.fill_null("").cast(pa.large_string())
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     source = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
     at = at - at[0]
     if not len(source):
-        return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
+        none = np.empty(0, np.int64)
+        return source, none, none, at
     inside = ~_SPACE[source]
     fresh = np.zeros(len(source) + 1, dtype=bool)  # a text begins here
     fresh[at] = True
@@ -57,12 +58,21 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begins[1:] &= ~inside[:-1] | fresh[1:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | fresh[1:-1]
-    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return source, np.flatnonzero(begins), np.flatnonzero(ends) + 1, at
+
+
+def span_hashes(source: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans with A-Z lowered."""
     power, inverse = _power_tables(len(source))
     sums = np.zeros(len(source) + 1, _U)
     np.cumsum((_LOWER[source].astype(_U) + _U(1)) * power[: len(source)], out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U))
-    return hashes, np.searchsorted(start, at)
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U))
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of every text in order, and where each text's words start (and the last end)."""
+    source, start, end, at = spans_of(texts)
+    return span_hashes(source, start, end), np.searchsorted(start, at)
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
