@@ -16,16 +16,30 @@ from tillroll.sources import staging
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch: a text has kilobytes, so Spark's default of 10,000 rows takes
+#: tens of megabytes on both sides of the pipe, for each task and direction.
+ARROW_ROWS = 1_000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size where it is larger; a smaller one is left alone."""
+    if int(spark.conf.get(_ARROW)) > ARROW_ROWS:
+        spark.conf.set(_ARROW, str(ARROW_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the folder in `spark.checkpoint.dir` and read back; see `staging.staged`.
 
     Only a session on a local master may leave the setting out.
     """
     use_local_scratch(df.sparkSession)
+    _small_batches(df.sparkSession)
     return staging.staged(df, name)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -59,6 +73,7 @@ def slices_by_bytes(
 def keep_rows(docs: DataFrame, keep: Callable[[list[str | None]], list[bool]], text: str = "text") -> DataFrame:
     """The rows whose text `keep` says yes to, with all their columns and without an exchange."""
     at = docs.columns.index(text)
+    _small_batches(docs.sparkSession)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, text):
