@@ -1,5 +1,6 @@
 """Toxicity, quality rules, licenses, personal data and sentence pieces."""
 
+import random
 import re
 import zlib
 
@@ -64,6 +65,20 @@ def test_block_search_is_exact(toxic_docs):
         assert np.allclose(cosines, expected[expected > 0][:5])
 
 
+def test_only_copies_of_one_label_are_one_example(spark):
+    rng = random.Random(6)
+    common = [f"common{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:30]
+    rows = [(i, " ".join(rng.sample(common, 200)), int(k % 3 == 0)) for k, i in enumerate(ids)]
+    more = [i for i in range(100, 160) if zlib.crc32(str(i).encode()) % 4 != 2]
+    same, other, near, empty, null = more[:5]
+    rows += [(same, rows[0][1], 1), (other, rows[0][1], 0), (near, rows[1][1] + " tail", 0), (empty, "", 0), (null, None, 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = sorted((r.doc_id, r.y) for r in toxicity._examples(docs, labels, 1000).collect())
+    assert got == sorted((i, y) for i, _, y in rows if i not in (same, near, null))
+
+
 def test_toxicity_edges(edge_documents, no_documents, labels):
     index = toxicity.fit_toxicity(edge_documents, labels.limit(0))
     assert toxicity.score_toxicity(edge_documents, index).count() == edge_documents.count()

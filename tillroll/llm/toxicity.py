@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import crc_fold, keep_rows, slices_by_bytes, staged
+from tillroll.llm.near_duplicates import near_duplicates
 from tillroll.llm.quality import labelled_sample
 
 SAMPLE_ROWS = 16_384  # labelled rows that examples are taken from, in expectation at most
@@ -145,15 +146,21 @@ def _platt(votes: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _examples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """`doc_id, y, text` of the sample, one of each group of texts with the same two least word hashes.
+    """`doc_id, y, text` of the sample, of each group of near copies one with each label.
 
-    Copies would otherwise pass for independent evidence of every word in them.
+    Copies would otherwise pass for independent evidence of every word in them. Near
+    copies are the components of `near_duplicates`, so texts that only share their
+    language's common words stay apart; texts without any word are copies of each other.
     """
     sample = labelled_sample(docs, labels.withColumn("clean", 1 - F.col("toxic")), "clean", rows)
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
-    least = [F.array_min(F.transform(words, lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in ("a", "b")]
-    one = F.min(F.struct("doc_id", (1 - F.col("y")).alias("y"), "text")).alias("one")
-    return sample.groupBy(least[0].alias("a"), least[1].alias("b")).agg(one).select("one.*")
+    # One identifier may stand on several texts, so rows are numbered.
+    sample = staged(sample.withColumn("row", F.monotonically_increasing_id()), "toxicity-sample")
+    found = near_duplicates(sample, "row").select(
+        F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("copies")
+    )
+    one = F.min(F.struct("doc_id", "text")).alias("one")
+    groups = sample.join(found, "row").groupBy("copies", (1 - F.col("y")).alias("y")).agg(one)
+    return groups.select("one.doc_id", "y", "one.text")
 
 
 def _term_counts(examples: DataFrame) -> DataFrame:
