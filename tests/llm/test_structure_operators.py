@@ -163,6 +163,22 @@ def test_boilerplate_inside_and_around_an_article():
     assert text("<nav>only a menu</nav>") == ""
 
 
+def test_only_code_runs_to_the_end_of_the_page():
+    def text(page):
+        return html_text.extract(page, {})
+
+    story = "<article><p>One two three four five.</p></article>"
+    plain = "One two three four five."
+    assert text(f"<html><head><title>t</title><body>{story}") == plain
+    assert text(f"<html><head><meta charset=utf-8><title>t</title><style>p{{}}</style>{story}") == plain
+    assert text("<p>One</p><svg class=i/><p>Two words</p>") == "One\nTwo words"
+    assert text("<p>One</p><iframe srcdoc='<b/>no' /><p>Two words</p>") == "One\nTwo words"
+    assert text("<p>One</p><object data=x><p>Two words</p>") == "One\nTwo words"
+    assert text("<p>One</p><svg><text>no</text></SVG ><button>no</button><p>Two words</p>") == "One\nTwo words"
+    assert text("<p>One</p><script>no<p>no</p>") == text("<p>One</p><!-- no<p>no</p>") == "One"
+    assert text("<p>One</p>" + "<button>" * 100_000 + "Two") == "One\nTwo"
+
+
 def test_long_broken_page():
     page = "<p>" + "word " * 200_000 + "<b" + "<" * 1000 + "<a href='" + "x" * 100_000
     assert html_text.extract(page, {}).startswith("word word")

@@ -24,7 +24,8 @@ SAMPLE_ROWS = 4_096  # pages that the weights are counted on, in expectation at
 ARTICLE_EDGE = -60.0  # start or end of an explicit article
 
 # Elements by what they do to the text.
-_RAW = "script|style|noscript|template|iframe|svg|object|canvas|audio|video|head|select|textarea|button"
+_TO_THE_END = "script|style"  # without an end tag, what follows is theirs
+_RAW = "noscript|template|iframe|svg|object|canvas|audio|video|title|select|textarea|button"
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table "
@@ -52,13 +53,15 @@ _ROLES = {"navigation": "menu", "banner": "header", "contentinfo": "footer", "co
 _KIND_OF = {name: kind for kind, names in _BOILERPLATE_NAMES.items() for name in names.split()}
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<code>{_TO_THE_END})(?=[\s/>])[^>]*>.*?(?:</(?P=code)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?P<held>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-z][^>]*(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
+_raw_ends = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in _RAW.split("|")}
 _named = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _hidden = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 _part = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
@@ -92,12 +95,26 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, bool]]:
 
     Feature is `word`, `link word`, `tag NAME`, `end NAME`, or `box KIND` for the
     start of boilerplate. Unclosed elements end with their parent; an end tag
-    without a start is a tag like another.
+    without a start is a tag like another. Elements whose content is no text are left
+    out up to their end tag; those that close themselves, or that nothing closes, have none.
     """
     stack: list[tuple[str, str | None]] = []
     kind: str | None = None
     articles = links = 0
-    for m in _token.finditer(page):
+    unclosed: set[str] = set()  # elements that no end tag is left for
+    at = 0
+    while at < len(page):
+        m = _token.match(page, at)
+        at = m.end()
+        if m["raw"]:
+            name = m["raw"].lower()
+            if not m["held"].endswith("/") and name not in unclosed:
+                end = _raw_ends[name].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(name)
+            continue
         text = m["text"]
         if text is not None:
             yield ("link word" if links else "word"), text, kind, articles > 0
