@@ -163,6 +163,17 @@ def test_boilerplate_inside_and_around_an_article():
     assert text("<nav>only a menu</nav>") == ""
 
 
+def test_ids_of_an_article_s_own_parts():
+    def text(body):
+        return html_text.extract(f"<html><body>{body}</body></html>", {})
+
+    story = "<p>One two three four five.</p>"
+    own = "<section id='discussion'><h2 id='search'>Search</h2><p>Six seven eight.</p></section>"
+    assert text(f"<article>{story}{own}</article>") == "One two three four five.\nSearch\nSix seven eight."
+    for named in ("class='discussion'", "id='comments'", "id='related' class='widget'"):
+        assert text(f"<article>{story}<section {named}><p>Six seven eight.</p></section></article>") == "One two three four five."
+
+
 def test_only_code_runs_to_the_end_of_the_page():
     def text(page):
         return html_text.extract(page, {})

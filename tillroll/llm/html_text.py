@@ -48,6 +48,9 @@ _BOILERPLATE_NAMES = {
     "share": "share sharing social",
 }
 _CONTENT_NAMES = frozenset("article post entry content story title headline".split())
+# Names that an article's own parts have too; there the id of a part or heading does not decide by them.
+_SUBJECTS = frozenset("discussion related search copyright alert notice feedback responses promotion login tabs widget".split())
+_PARTS = frozenset("section h1 h2 h3 h4 h5 h6".split())
 _ROLES = {"navigation": "menu", "banner": "header", "contentinfo": "footer", "complementary": "aside", "search": "form", "dialog": "notice", "alert": "notice", "alertdialog": "notice"}
 
 _KIND_OF = {name: kind for kind, names in _BOILERPLATE_NAMES.items() for name in names.split()}
@@ -83,7 +86,10 @@ def _kind(tag: str, attrs: str, in_article: bool) -> str | None:
         if name.lower() == "role" and value.strip().lower() in _ROLES:
             return _ROLES[value.strip().lower()]
         parts = [part.lower() for part in _part.split(value)]
+        own_part = in_article and tag in _PARTS and name.lower() == "id"
         for part in parts:
+            if own_part and part in _SUBJECTS:
+                continue
             kind = _KIND_OF.get(part)
             if kind and not (kind == "header" and (in_article or not _CONTENT_NAMES.isdisjoint(parts))):
                 return kind
