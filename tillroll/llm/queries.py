@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, embeddings, html_text, licenses, near_duplicates, packing, pii, quality, sentence_pieces, toxicity
+from tillroll.llm import centroids, chat, embeddings, html_text, licenses, mixing, near_duplicates, packing, pii, prefix_trie, quality, sentence_pieces, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -72,6 +72,18 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digested_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # which imports this module
 
@@ -89,8 +101,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_mixing": op13_mixing,
     "pipeline": pipeline,
 }
+_ROUND_SQL = """
+far{n} AS (
+  SELECT row_id, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d
+  FROM part AS v JOIN c{n} AS c ON c.i = v.i GROUP BY row_id, c.k
+),
+best{n} AS (
+  SELECT row_id, arg_min(k, struct_pack(d := d, k := k)) AS k, min(d) AS d FROM far{n} GROUP BY row_id
+),"""
+_MOVE_SQL = """
+mean{n} AS (
+  SELECT b.k, v.i, CAST(floor(sum(v.x) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS x
+  FROM best{n} AS b JOIN part AS v ON v.row_id = b.row_id GROUP BY b.k, v.i
+),
+c{m} AS (
+  SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{n} AS c LEFT JOIN mean{n} AS m ON m.k = c.k AND m.i = c.i
+),"""
+_CLUSTER_SQL = (
+    """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row_id, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+part AS (SELECT row_id, unnest(range(64)) AS i, unnest(v) AS x FROM kept),
+seed AS (
+  SELECT row_id, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS k FROM kept
+  QUALIFY k < 16
+),
+c0 AS (SELECT k, i, x FROM seed JOIN part ON part.row_id = seed.row_id),"""
+    + "".join(_ROUND_SQL.format(n=n) + _MOVE_SQL.format(n=n, m=n + 1) for n in range(3))
+    + _ROUND_SQL.format(n=3)
+    + """
+digest AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY k)
+SELECT vec_id, CAST(b.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY b.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM best3 AS b JOIN kept ON kept.row_id = b.row_id JOIN digest ON digest.k = b.k
+"""
+)
+
 #: The operators that SQL can express over whole tables; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": r"""
@@ -127,4 +184,61 @@ SELECT sizes.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM sizes JOIN reached ON reached.doc_id = sizes.doc_id
 GROUP BY sizes.doc_id, n
 """,
+    "op11_prefix_trie": r"""
+WITH tables AS (
+  SELECT list(c ORDER BY n) AS crc_of FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS t(n))
+),
+said AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(turn ORDER BY place) AS turns FROM said GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                        lambda i: CAST(ascii(substring(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+           lambda c, b: xor(c >> 8, crc_of[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) % 6 AS h
+  FROM own, tables
+),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS turns
+  FROM hashed AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 100
+),
+member AS (
+  SELECT conv_id, d AS depth, len(turns) AS n, turns[1:d] AS path
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+),
+node AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256,
+         CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * length(path[depth].t) END AS saved
+  FROM member GROUP BY path, depth
+),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM node AS n LEFT JOIN node AS p
+  ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+),
+counted AS (
+  SELECT l.path, l.depth, count(c.path) AS n_children FROM node AS l LEFT JOIN node AS c
+  ON c.depth = l.depth + 1 AND l.path = c.path[1:c.depth - 1] GROUP BY l.path, l.depth
+),
+above AS (
+  SELECT path[1:d] AS path, d AS depth, saved, n_children
+  FROM (SELECT n.path, saved, n_children, unnest(range(0, n.depth + 1)) AS d
+        FROM node AS n JOIN counted AS c ON c.path = n.path AND c.depth = n.depth)
+),
+subtree AS (
+  SELECT path, depth, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM above GROUP BY path, depth
+)
+SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, l.parent_conv_id, l.n_convs, c.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, l.ends_sha256
+FROM linked AS l
+JOIN counted AS c ON c.path = l.path AND c.depth = l.depth
+JOIN subtree AS s ON s.path = l.path AND s.depth = l.depth
+""",
+    "op12_centroid_clustering": _CLUSTER_SQL,
 }
