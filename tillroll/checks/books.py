@@ -20,16 +20,20 @@ HEADER = ["order_id", "order_date", "total", "priority", "remark"]
 _DATE_STYLE = 1
 
 
+#: Order keys of a workbook: more orders make more workbooks, not larger ones.
+KEYS_PER_BOOK = 20_000
+
+
 def order_workbooks(orders: DataFrame) -> DataFrame:
-    """`path, content`: a workbook per status, year and quarter of the order keys, a sheet per month.
+    """`path, content`: a workbook per status, year and block of the order keys, a sheet per month.
 
     Dates are serials under a date style, priorities shared strings, remarks inline
     and missing on every third order.
     """
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date"))
-    quarter = F.pmod("o_orderkey", F.lit(4)).cast("string")
+    block = F.floor(F.col("o_orderkey") / KEYS_PER_BOOK).cast("string")
     rows = orders.select(
-        F.concat_ws("-", F.lit("orders"), "o_orderstatus", F.year("o_orderdate").cast("string"), quarter).alias("path"),
+        F.concat_ws("-", F.lit("orders"), "o_orderstatus", F.year("o_orderdate").cast("string"), block).alias("path"),
         F.month("o_orderdate").alias("month"),
         "o_orderkey",
         days.alias("days"),

@@ -197,10 +197,19 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d'
        CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS total, o_orderpriority AS priority,
        CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus || ' inline' END AS remark,
        'Month ' || strftime(o_orderdate, '%m') AS "SourceSheet",
-       'orders-' || o_orderstatus || '-' || strftime(o_orderdate, '%Y') || '-' || CAST(o_orderkey % 4 AS VARCHAR) AS workbook
+       'orders-' || o_orderstatus || '-' || strftime(o_orderdate, '%Y') || '-' || CAST(o_orderkey // 20000 AS VARCHAR) AS workbook
 FROM orders
 """
 
+ORACLES["workbook_unpacked"] = ORACLES["workbook_decode"]
+
+ORACLES["workbook_month_scan"] = """
+SELECT 'orders-' || o_orderstatus || '-' || strftime(o_orderdate, '%Y') || '-' || CAST(o_orderkey // 20000 AS VARCHAR) AS workbook,
+       CAST(o_orderkey AS VARCHAR) AS order_id,
+       CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS total
+FROM orders WHERE month(o_orderdate) = 2
+"""
+
 _ACTIONS = """
 actions AS (
   SELECT CASE WHEN user_id IN (3, 7) AND event_id // 1000 < 2 THEN CAST(user_id AS VARCHAR)

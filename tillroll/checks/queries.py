@@ -16,9 +16,9 @@ from tillroll.operators import layout, runs, sheets
 from tillroll.operators.clean import clean_lines, normalize_columns
 from tillroll.operators.revenue import row_count
 from tillroll.plans import retail
-from tillroll.plans.ingest import stacked_sheets
+from tillroll.plans.ingest import ingest_workbooks, stacked_sheets
 from tillroll.plans.run_report import run_document, run_summary
-from tillroll.sources import delimited, documents, workbooks
+from tillroll.sources import delimited, documents, sheet_parts, workbook_source
 from tillroll.sources.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,19 @@ def layouts_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- workbooks ----------------------------------------------------------------
 
 
+def _workbook_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of workbook files made from the orders."""
+    folder = staging_path(spark, "workbook-files")
+    books_made = books.order_workbooks(views.table(spark, sf_dir, "orders"))
+    workbook_source.write_files(books_made.withColumn("path", F.concat("path", F.lit(".xlsx"))), folder)
+    return folder
+
+
+def _named(table: DataFrame) -> DataFrame:
+    """Workbooks by their bare name."""
+    return table.withColumn("workbook", F.regexp_extract("workbook", r"([^/]+)\.xlsx$", 1))
+
+
 @query("cell_ref_index")
 def cell_ref_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = views.cell_refs(spark, sf_dir)
@@ -184,10 +197,32 @@ def serial_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("workbook_decode")
 def workbook_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Workbook files made from orders inside tasks, decoded, and stacked again."""
-    files = staged(books.order_workbooks(views.table(spark, sf_dir, "orders")), "workbook-files")
-    records = staged(workbooks.decode_workbooks(files), "workbook-records", "kind")
-    return stacked_sheets(workbooks.split_records(records)).drop("sheet_no", "row_no")
+    """Workbook files written from orders, scanned part by part, and stacked again."""
+    files = _workbook_files(spark, sf_dir)
+    return _named(ingest_workbooks(spark, files)).drop("sheet_no", "row_no")
+
+
+@query("workbook_unpacked")
+def workbook_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, sheets unpacked and scanned as split text."""
+    files = _workbook_files(spark, sf_dir)
+    folder = staging_path(spark, "unpacked-workbooks")
+    sheet_parts.unpack_sheets(spark, files, folder)
+    tables = workbook_source.scan_tables(spark, files)
+    cells = staged(sheet_parts.read_sheet_cells(spark, folder), "unpacked-cells")
+    return _named(stacked_sheets(tables._replace(cells=cells))).drop("sheet_no", "row_no")
+
+
+@query("workbook_month_scan")
+def workbook_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of one sheet of every workbook; nothing else is read."""
+    files = _workbook_files(spark, sf_dir)
+    picked = workbook_source.scan_workbooks(spark, files, ["cell"], sheets=["Month 02"], columns=[0, 2])
+    body = picked.filter("row_no > 1").groupBy("workbook", "row_no").agg(
+        F.min(F.when(F.col("col") == 0, F.col("raw"))).alias("order_id"),
+        F.min(F.when(F.col("col") == 2, F.col("raw"))).alias("total"),
+    )
+    return _named(body).drop("row_no")
 
 
 @query("cells_to_rows")

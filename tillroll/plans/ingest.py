@@ -19,6 +19,7 @@ from tillroll.operators.sheets import (
     used_runs,
 )
 from tillroll.sources.staging import staged
+from tillroll.sources.workbook_source import opens, scan_workbooks
 from tillroll.sources.workbooks import WorkbookTables, read_workbook_records, split_records
 
 
@@ -55,9 +56,11 @@ def ingest_workbooks(
     """All sheets of all workbooks below `path`, stacked, with their provenance.
 
     The workbooks are decoded once, into a table in the shared staging folder,
-    partitioned by kind of record. Give `columns` to skip the look at the
+    partitioned by kind of record. Tasks read their parts from the containers; only
+    where Spark alone reaches the path do containers go through Spark. Give `columns` to skip the look at the
     headers; like a CSV schema they then apply by position. `name` starts the
     staged table's folder; a job that is done with the result can delete it.
     """
-    records = staged(read_workbook_records(spark, path), name, "kind")
+    read = scan_workbooks if opens(path) else read_workbook_records
+    records = staged(read(spark, path), name, "kind")
     return stacked_sheets(split_records(records), columns)

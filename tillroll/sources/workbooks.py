@@ -25,13 +25,16 @@ FAN_OUT = 4  # tasks that share a workbook's parts
 _FIELDS = WORKBOOK_RECORD.fieldNames()
 
 # --- fixed values: part names of the file format ------------------------------
-_STRINGS = "xl/sharedStrings.xml"
+STRINGS = "xl/sharedStrings.xml"
 _STYLES = "xl/styles.xml"
 _SHEETS = "xl/workbook.xml"
 _RELATIONS = "xl/_rels/workbook.xml.rels"
 # -----------------------------------------------------------------------------
 
 
+LISTS = (_SHEETS, _RELATIONS, _STYLES)  # short parts that say what the others are
+
+
 class WorkbookTables(NamedTuple):
     cells: DataFrame  # workbook, part, row_no, cell_no, ref, t, s, raw, inline
     string_runs: DataFrame  # workbook, idx, run_no, text
@@ -105,18 +108,41 @@ def _workbook_records(content: bytes, share: int, fan_out: int) -> Iterator[dict
     with ZipFile(io.BytesIO(content)) as container:
         parts = sorted(container.namelist())
         if share == 0:
-            yield from _sheet_list(container.read(_SHEETS), container.read(_RELATIONS))
-            if _STYLES in parts:
-                yield from _style_list(container.read(_STYLES))
+            yield from list_records(container)
         for position, part in enumerate(parts):
             if position % fan_out != share or not part.endswith(".xml") or part in (_STYLES, _SHEETS):
                 continue
             yield {"kind": "part", "part": part}
             with container.open(part) as stream:
-                if part == _STRINGS:
-                    yield from _shared_strings(stream)
+                if part == STRINGS:
+                    yield from shared_strings(stream)
                 else:
-                    yield from _sheet_cells(stream, part)
+                    yield from sheet_cells(stream, part)
+
+
+def list_records(container: ZipFile) -> Iterator[dict]:
+    """Sheets, relations, formats and styles of a workbook."""
+    yield from _sheet_list(container.read(_SHEETS), container.read(_RELATIONS))
+    if _STYLES in container.namelist():
+        yield from _style_list(container.read(_STYLES))
+
+
+def sheet_names(container: ZipFile) -> dict[str, str]:
+    """The sheet that each part holds, by the same rule as `operators.sheets.sheet_catalog`."""
+    records = list(_sheet_list(container.read(_SHEETS), container.read(_RELATIONS)))
+    targets = {r["ref"]: r["raw"].lstrip("/") for r in records if r["kind"] == "relation"}
+    named = [(targets.get(r["ref"]), r["raw"]) for r in records if r["kind"] == "sheet"]
+    return {t if t.startswith("xl/") else f"xl/{t}": name for t, name in named if t}
+
+
+def column_of(ref: str) -> int | None:
+    """Zero-based column of a cell reference as `functions.sheet.column_index`, none without capitals."""
+    index = 0
+    for letter in ref:
+        if not "A" <= letter <= "Z":
+            break
+        index = index * 26 + ord(letter) - 64
+    return index - 1 if index else None
 
 
 def _is(element: ElementTree.Element, name: str) -> bool:
@@ -164,13 +190,13 @@ def _elements(stream, root_name: str, row_name: str) -> Iterator[ElementTree.Ele
             parents[-1].clear()
 
 
-def _shared_strings(stream) -> Iterator[dict]:
+def shared_strings(stream) -> Iterator[dict]:
     for position, item in enumerate(_elements(stream, "sst", "si")):
         for run_no, text in enumerate(_texts(item) or [""]):
             yield {"kind": "string", "row_no": position, "cell_no": run_no, "raw": text}
 
 
-def _sheet_cells(stream, part: str) -> Iterator[dict]:
+def sheet_cells(stream, part: str) -> Iterator[dict]:
     for row_no, row in enumerate(_elements(stream, "worksheet", "row"), 1):
         place = {"kind": "cell", "part": part, "row_no": row_no}
         cells = [cell for cell in row if _is(cell, "c")]
