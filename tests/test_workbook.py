@@ -228,3 +228,49 @@ def test_random_books(spark, tmp_path):
     got = [(int(r.workbook[-7:-5]), *r[:6], r.row_no) for r in table.collect()]
     assert len(expected) > 100
     assert got == expected
+
+
+# --- headers that differ ----------------------------------------------------------------
+
+
+def differing(tmp_path):
+    head = [c("A1", "id", t="str"), c("B1", "name", t="str"), c("C1", t="str")]
+    write_book(tmp_path / "a.xlsx", {"S": sheet(head, [c("A2", 1), c("B2", "x", t="str"), c("C2", "n", t="str")], [], [c("F4", "far", t="str")])})
+    turned = [c("A1", "name", t="str"), c("B1", "price", t="str"), c("C1", "id", t="str")]
+    write_book(tmp_path / "b.xlsx", {"none": sheet(), "S": sheet(turned, [c("A2", "y", t="str"), c("B2", 9), c("C2", 2)]), "T": sheet([c("A1", "other", t="str")], [c("C2", 3)])})
+
+
+def test_headers_in_another_order_stack_by_name(spark, tmp_path):
+    differing(tmp_path)
+    got = ingest_workbooks(spark, str(tmp_path), by_name=True).orderBy("workbook", "sheet_no", "row_no")
+    assert got.columns == ["id", "name", "_c2", "price", "SourceSheet", "workbook", "sheet_no", "row_no"]
+    assert [tuple(r)[:5] for r in got.collect()] == [
+        ("1", "x", "n", "", "S"),
+        ("", "", "", "", "S"),
+        ("", "", "", "", "S"),
+        ("2", "y", "", "9", "S"),
+        ("3", "", "", "", "T"),
+    ]
+    chosen = ingest_workbooks(spark, str(tmp_path), columns=["price", "id"], by_name=True).orderBy("workbook", "row_no")
+    assert [tuple(r)[:2] for r in chosen.filter("sheet_no = 2").collect()] == [("9", "2")]
+
+
+def test_by_position_stays_the_default(spark, tmp_path):
+    differing(tmp_path)
+    with pytest.raises(ValueError, match="disagree on the header"):
+        ingest_workbooks(spark, str(tmp_path))
+
+
+def test_names_that_cannot_be_told_apart(spark, tmp_path):
+    for name, head in (("a", "Id"), ("b", "ID")):
+        write_book(tmp_path / f"{name}.xlsx", {"S": sheet([c("A1", head, t="str")], [c("A2", 1)])})
+    with pytest.raises(ValueError, match="case only"):
+        ingest_workbooks(spark, str(tmp_path), by_name=True)
+
+
+def test_by_name_equals_by_position_where_headers_agree(spark, tmp_path):
+    retail_book(tmp_path / "one.xlsx")
+    retail_book(tmp_path / "two.xlsx")
+    by_name, plain = (ingest_workbooks(spark, str(tmp_path), by_name=flag) for flag in (True, False))
+    assert by_name.columns == plain.columns
+    assert sorted(map(str, by_name.collect())) == sorted(map(str, plain.collect()))

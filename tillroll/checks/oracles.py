@@ -83,6 +83,22 @@ ORACLES["monthly_revenue"] = f"WITH {_LINES} {_MONTH} LIMIT 12"
 ORACLES["monthly_revenue_all"] = f"WITH {_LINES} {_MONTH}"
 ORACLES["csv_infer_roundtrip"] = ORACLES["clean_lines"]
 ORACLES["csv_schema_roundtrip"] = ORACLES["clean_lines"]
+ORACLES["csv_once_roundtrip"] = ORACLES["clean_lines"]
+ORACLES["csv_rejects"] = f"""
+WITH {_LINES},
+failed AS (
+  SELECT CASE WHEN quantity IS NULL OR country IS NULL THEN 'Quantity' END AS q,
+         CASE WHEN price IS NULL THEN 'InvoiceDate' END AS d, CASE WHEN price IS NULL THEN 'Price' END AS p
+  FROM lines
+),
+named AS (SELECT concat_ws(', ', q, d, p) AS columns FROM failed)
+SELECT 'rejected' AS what, columns, count(*) AS lines FROM named WHERE columns <> '' GROUP BY columns
+UNION ALL SELECT 'all rows', '', count(*) FROM lines
+UNION ALL SELECT 'with quantity and price', '', count(*) FROM failed WHERE q IS NULL AND p IS NULL
+"""
+ORACLES["kept_country_revenue"] = ORACLES["country_revenue"]
+ORACLES["kept_monthly_revenue"] = ORACLES["monthly_revenue_all"]
+ORACLES["bucketed_country_revenue"] = ORACLES["country_revenue"]
 ORACLES["layout_by_country"] = ORACLES["country_revenue"]
 
 ORACLES["cell_ref_index"] = """
@@ -192,6 +208,8 @@ SELECT order_id, customer, order_date, total, priority,
 FROM order_rows
 """
 
+ORACLES["sheet_union_by_name"] = ORACLES["sheet_union"]
+
 ORACLES["workbook_decode"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
        CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS total, o_orderpriority AS priority,
@@ -291,6 +309,11 @@ ORDER BY {_RANK}, run_label
 """
 
 ORACLES["run_summary_written"] = ORACLES["run_summary"]
+ORACLES["run_summary_followed"] = ORACLES["run_summary"]
+ORACLES["run_documents_by_label"] = f"""
+WITH {_ACTIONS}
+SELECT run_label, document_no, count(*) AS row_count FROM actions GROUP BY run_label, document_no
+"""
 
 ORACLES["run_executor_memory"] = """
 WITH status AS (

@@ -15,11 +15,12 @@ from tillroll.functions import sheet as sheet_functions
 from tillroll.operators import layout, runs, sheets
 from tillroll.operators.clean import clean_lines, normalize_columns
 from tillroll.operators.revenue import row_count
-from tillroll.plans import retail
+from tillroll.plans import kept, retail
 from tillroll.plans.ingest import ingest_workbooks, stacked_sheets
 from tillroll.plans.run_report import run_document, run_summary
 from tillroll.sources import delimited, documents, sheet_parts, workbook_source
 from tillroll.sources.staging import staged, staging_path
+from tillroll.streaming import run_summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +106,64 @@ def csv_schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_lines(spark, path).transform(clean_lines)
 
 
+@query("csv_once_roundtrip")
+def csv_once_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "lines-csv")
+    delimited.write_lines(views.retail_lines(spark, sf_dir), path)
+    return delimited.read_lines_once(spark, path).transform(clean_lines)
+
+
+@query("csv_rejects")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines read as typed ones: which columns did not parse, and how many lines came through."""
+    path = staging_path(spark, "text-lines-csv")
+    delimited.write_lines(views.retail_text_lines(spark, sf_dir), path)
+    rows, rejects = delimited.read_lines_checked(spark, path)
+    causes = rejects.groupBy(F.array_join("columns", ", ").alias("columns")).agg(F.count("*").alias("lines"))
+    measured = F.count("*").alias("lines")
+    return (
+        causes.withColumn("what", F.lit("rejected"))
+        .unionByName(rows.agg(measured).select(F.lit("").alias("columns"), "lines", F.lit("all rows").alias("what")))
+        .unionByName(
+            rows.filter(F.col("Quantity").isNotNull() & F.col("Price").isNotNull())
+            .agg(measured)
+            .select(F.lit("").alias("columns"), "lines", F.lit("with quantity and price").alias("what"))
+        )
+    )
+
+
+@query("kept_country_revenue")
+def kept_country_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(spark, sf_dir).countries
+
+
+@query("kept_monthly_revenue")
+def kept_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(spark, sf_dir).months
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> retail.RetailAnswers:
+    """Answers from three batches of lines, the second of which came in full only when it was repeated."""
+    path = staging_path(spark, "line-states")
+    lines = views.retail_lines(spark, sf_dir)
+    share = F.pmod(F.xxhash64("Invoice"), F.lit(3))
+    kept.append_lines(lines.filter(share == 0), path, "first")
+    kept.append_lines(lines.filter((share == 1) & (F.col("Quantity") > 20)), path, "second")
+    kept.append_lines(lines.filter(share == 2), path, "third")
+    kept.append_lines(lines.filter(share == 1), path, "second")
+    return kept.kept_answers(spark, path)
+
+
+@query("bucketed_country_revenue")
+def bucketed_country_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top countries over a bucketed table, opened by its place as another session would."""
+    path = staging_path(spark, "lines-by-bucket")
+    name = "lines_" + path.rsplit("-", 1)[1]
+    lines = _clean(spark, sf_dir).select(*layout.QUERY_COLUMNS)
+    layout.write_buckets(lines, name, path, "country", 16)
+    return retail.country_revenue_of_buckets(layout.open_buckets(spark, f"{name}_again", path, "country", 16))
+
+
 @query("layout_by_country")
 def layout_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _clean(spark, sf_dir).select(*layout.QUERY_COLUMNS)
@@ -255,6 +314,13 @@ def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stacked_sheets(views.workbook_tables(spark, sf_dir))
 
 
+@query("sheet_union_by_name")
+def sheet_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks with their columns in different orders, stacked by the names in their headers."""
+    stacked = stacked_sheets(views.shuffled_tables(spark, sf_dir), by_name=True)
+    return stacked.select("order_id", "customer", "order_date", "total", "priority", "SourceSheet", "workbook", "sheet_no", "row_no")
+
+
 # --- run metrics --------------------------------------------------------------
 
 
@@ -346,6 +412,33 @@ def run_executor_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("run_documents_by_label")
+def run_documents_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run's documents, of which some runs are written again; the others stay."""
+    path = staging_path(spark, "labelled-documents")
+    made = views.run_documents(spark, sf_dir).drop("file")
+    again = F.col("run_label").isin(PREFERRED_USERS)
+    stale = made.withColumn("row_count", F.when(again, F.lit(-1).cast("long")).otherwise(F.col("row_count")))
+    documents.write_documents_by_label(stale, path)
+    documents.write_documents_by_label(made.filter(again), path)
+    return documents.read_documents_by_label(spark, path).select("run_label", "document_no", "row_count")
+
+
+@query("run_summary_followed")
+def run_summary_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary over documents that arrive in two deliveries, each read once."""
+    path = staging_path(spark, "arriving-documents")
+    target, checkpoint = staging_path(spark, "followed-summary"), staging_path(spark, "followed-checkpoint")
+    made = views.run_documents(spark, sf_dir).withColumn("delivery", F.pmod(F.xxhash64("file", "document_no"), F.lit(2)))
+    for delivery in (1, 0):
+        part = made.filter(F.col("delivery") == delivery).drop("delivery")
+        # a file per run and block, so that file and number order documents as in the view
+        named = part.withColumn("run", F.concat("file", F.lit("-"), "document_no", F.lit("_metrics.json"))).drop("file")
+        named.repartition("run").write.mode("append").partitionBy("run").json(path)
+        run_summaries.update_summaries(spark, path, target, checkpoint, one_per_file=False)
+    return run_summaries.read_summaries(spark, target, PREFERRED_USERS)
+
+
 @query("run_document_json")
 def run_document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = retail.answer_all(views.retail_lines(spark, sf_dir))

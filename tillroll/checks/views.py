@@ -217,6 +217,13 @@ def workbook_tables(spark: SparkSession, sf_dir: str) -> WorkbookTables:
     )
 
 
+def shuffled_tables(spark: SparkSession, sf_dir: str) -> WorkbookTables:
+    """The same workbooks; those of open orders have their columns in another order."""
+    tables = workbook_tables(spark, sf_dir)
+    moved = F.when(F.col("workbook").contains("O"), F.translate("ref", "ABCDE", "DACEB")).otherwise(F.col("ref"))
+    return tables._replace(cells=tables.cells.withColumn("ref", moved))
+
+
 def part_styles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Styles and formats of one workbook per brand, a style per part, a format per size."""
     part = table(spark, sf_dir, "part").withColumn("workbook", F.concat(F.lit("styles-"), "p_brand"))

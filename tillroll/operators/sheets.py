@@ -20,9 +20,6 @@ from tillroll.schemas import SHEET_COLUMN
 #: `row_no` counts the row elements of a sheet from here.
 FIRST_ROW = 1
 
-#: Copies of each shared string in the string lookup; the cells that show a string
-#: are dealt over its copies. Adaptive execution splits what is still too large.
-STRING_COPIES = 8
 _POSITION = ["workbook", "sheet_no", "row_no"]
 
 
@@ -91,25 +88,24 @@ def resolve_cells(cells: DataFrame, strings: DataFrame, date_styles: DataFrame)
 
     Only cells that show a shared string go through the string lookup; the others
     meet the date styles, a table of a few rows per workbook that Catalyst can
-    broadcast by itself. A string that very many cells show has STRING_COPIES
-    copies, and its cells are dealt over them by their position.
+    broadcast by itself. Each string goes through the exchange once; where very many
+    cells show one, adaptive execution splits them by their measured bytes, and only
+    that part of the strings is read several times.
     """
     place = [c for c in ("workbook", "part", "sheet_no", "sheet", "row_no", "cell_no") if c in cells.columns]
     has_raw = F.col("raw").isNotNull()
     by_index = F.coalesce((F.col("t") == "s") & has_raw, F.lit(False))
     by_text = (F.col("t").eqNullSafe("inlineStr")) & F.col("inline").isNotNull()
 
-    copies = F.explode(F.sequence(F.lit(0), F.lit(STRING_COPIES - 1))).alias("copy")
-    lookup = strings.select("workbook", F.col("idx").cast("long").alias("idx"), "text", copies)
+    lookup = strings.select("workbook", F.col("idx").cast("long").alias("idx"), "text")
     shown = cells.filter(by_index).select(
         *place,
         "ref",
         "raw",
         F.col("raw").cast("long").alias("idx"),
-        F.pmod(F.xxhash64("part", "row_no", "cell_no"), F.lit(STRING_COPIES)).cast("int").alias("copy"),
     )
     no_string = F.raise_error(F.concat(F.lit("No shared string "), F.col("raw"))).cast("string")
-    shared = shown.join(lookup, ["workbook", "idx", "copy"], "left").select(
+    shared = shown.join(lookup, ["workbook", "idx"], "left").select(
         *place, "ref", F.when(F.col("text").isNull(), no_string).otherwise(F.col("text")).alias("value")
     )
 
@@ -204,6 +200,49 @@ def header_names(rows: DataFrame) -> list[str]:
     return column_names(headers[0].row) if headers else []
 
 
+def header_alignment(rows: DataFrame) -> DataFrame:
+    """`workbook, col, name` of every workbook's own header, from assembled first rows.
+
+    A name is what stands in the first row of the workbook's first sheet that has one; a
+    blank or repeated one gets its position, as in `column_names`. Workbooks whose made
+    names meet another of their names are an error.
+    """
+    heads = rows.filter(F.col("row_no") == FIRST_ROW).groupBy("workbook").agg(F.min_by("row", "sheet_no").alias("row"))
+    reserved = F.array(*[F.lit(name.lower()) for name in [SHEET_COLUMN, *_POSITION]])
+    folded = F.concat(F.transform("row", F.lower), reserved)
+
+    def made(name: Column, at: Column) -> Column:
+        once = F.size(F.filter(folded, lambda other: other == F.lower(name))) == 1
+        numbered = F.concat(F.when(name == "", F.lit("_c")).otherwise(name), at.cast("string"))
+        return F.when((name != "") & once, name).otherwise(numbered)
+
+    named = heads.select("workbook", F.transform("row", made).alias("names"))
+    distinct = F.size(F.array_distinct(F.transform("names", F.lower))) == F.size("names")
+    problem = F.raise_error(F.concat(F.lit("made column names repeat others in "), F.col("workbook")))
+    checked = named.select("workbook", F.when(distinct, F.col("names")).otherwise(problem.cast("array<string>")).alias("names"))
+    return checked.select("workbook", F.posexplode("names").alias("col", "name"))
+
+
+def aligned_names(alignment: DataFrame) -> list[str]:
+    """All workbooks' column names: those of the first workbook in its order, then what others add."""
+    first = alignment.groupBy("name").agg(F.min(F.struct("workbook", "col")).alias("first")).orderBy("first").collect()
+    names = [r.name for r in first]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"column names that differ in case only: {sorted(names, key=str.lower)}")
+    return names
+
+
+def align_cells(resolved: DataFrame, alignment: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Cells moved to the column of their header's name.
+
+    Those beyond their header lose their column, so that only their row is left of them.
+    """
+    places = F.create_map(*[F.lit(x) for pair in ((n, i) for i, n in enumerate(names)) for x in pair])
+    moves = alignment.select("workbook", "col", F.try_element_at(places, F.col("name")).alias("to"))
+    moved = resolved.join(moves, ["workbook", "col"], "left").withColumn("col", F.col("to"))
+    return moved.select(*resolved.columns)
+
+
 def columns_from_rows(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Array rows as named text columns, cut or padded to the number of names."""
     fitted = rows.select(*keep, fit_width(F.col("row"), len(names)).alias("row"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators.clean import normalize_columns
+from tillroll.operators.layout import SLOT
 from tillroll.operators.revenue import (
     counts_of_groups,
     countries_of_groups,
@@ -30,6 +32,22 @@ def monthly_revenue(lines: DataFrame, k: int | None = 12, exact: bool = False) -
     return in_calendar_order(revenue_by_sheet_month(lines, exact), k)
 
 
+def country_revenue_of_buckets(table: DataFrame, k: int = 10) -> DataFrame:
+    """Top countries by revenue over a table of `layout.write_buckets` by country.
+
+    Lines are added up where they lie; only a row per country and slot is exchanged.
+    """
+    parts = table.groupBy("country", SLOT).agg(
+        F.count("*").alias("orders"), F.sum("revenue").alias("revenue"), F.count("revenue").alias("n")
+    )
+    groups = parts.groupBy("country").agg(
+        F.sum("orders").alias("orders"),
+        F.round(F.sum("revenue"), 2).alias("total_revenue"),
+        F.round(F.sum("revenue") / F.sum("n"), 2).alias("avg_revenue"),
+    )
+    return top_by_revenue(groups, k)
+
+
 class RetailAnswers(NamedTuple):
     counts: DataFrame  # raw_count, clean_count
     countries: DataFrame  # top countries by revenue

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions import infer
 from tillroll.functions.sheet import timestamp_text
 from tillroll.schemas import RAW_LINES
+from tillroll.sources.staging import staged
 
 # One dialect both ways: a quote inside a field is doubled.
 _DIALECT = {"header": True, "quote": '"', "escape": '"'}
@@ -30,6 +32,63 @@ def read_lines_inferred(spark: SparkSession, path: str, multi_line: bool = False
     return spark.read.options(**_DIALECT, multiLine=multi_line, inferSchema=True).csv(path)
 
 
+def read_lines_once(
+    spark: SparkSession, path: str, multi_line: bool = False, name: str = "lines-text"
+) -> DataFrame:
+    """As `read_lines_inferred`, but the input is parsed once.
+
+    The fields are staged as text columns in one scan; the types come from an aggregate
+    over those columns, and the values from casting them. What reads the result reads
+    columns, so only those it needs. A whole number in exponent form counts as a double,
+    where Spark's own inference makes it a decimal of negative scale.
+    """
+    header = spark.read.options(**_DIALECT, multiLine=multi_line).csv(path).columns
+    texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    parsed = spark.read.options(**_DIALECT, multiLine=multi_line, enforceSchema=True).schema(texts).csv(path)
+    table = staged(parsed, name)
+    measures = [f(F.col(c)).alias(f"{n}{c}") for c in texts.names for n, f in (("k", infer.kinds_of), ("d", infer.digits_of))]
+    found = table.agg(*measures).first() if header else {}
+    kinds = [infer.type_of(found[f"k{c}"], found[f"d{c}"]) for c in texts.names]
+    return table.select(*(infer.typed(F.col(c), k).alias(n) for c, k, n in zip(texts.names, kinds, header)))
+
+
+def read_lines_checked(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_LINES, multi_line: bool = False, name: str = "lines-checked"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of `read_lines`, and the lines behind those that did not parse as a whole.
+
+    The second table has `file, line, columns`: the line as it stands in the file and the
+    columns of `schema` in which it has text but no value; `columns` is empty where the
+    line has too few or too many fields. The input is parsed once, into a staged table
+    partitioned by whether a line is whole.
+    """
+    corrupt = "corrupt_line"
+    while corrupt in schema.names:
+        corrupt += "_"
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.options(**_DIALECT, multiLine=multi_line, columnNameOfCorruptRecord=corrupt)
+    scan = reader.schema(wide).csv(path).withColumns(
+        {"rejected_file": F.col("_metadata.file_path"), "rejected": F.col(corrupt).isNotNull()}
+    )
+    table = staged(scan, name, "rejected")
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    fields = F.from_csv(corrupt, _ddl(texts), {"quote": '"', "escape": '"'})
+    rejects = table.filter("rejected").withColumn("rejected_fields", fields)
+    failed = [
+        F.when(rejects["rejected_fields"].getField(f.name).isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f.name))
+        for f in schema.fields
+    ]
+    columns = F.array_compact(F.array(*failed))
+    return (
+        table.select(*(f"`{n}`" for n in schema.names)),
+        rejects.select(F.col("rejected_file").alias("file"), F.col(corrupt).alias("line"), columns.alias("columns")),
+    )
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def write_lines(df: DataFrame, path: str, line_breaks: bool = False) -> None:
     """Write a folder of UTF-8 parts, each with a header.
 

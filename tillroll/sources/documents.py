@@ -38,6 +38,22 @@ def write_run_documents(documents: DataFrame, path: str) -> None:
     documents.write.json(path)
 
 
+def write_documents_by_label(documents: DataFrame, path: str) -> None:
+    """One JSON object per line, in a partition of its `run_label`.
+
+    Only the labels at hand are replaced: a run that is repeated replaces its own
+    documents and leaves those of other runs as they are.
+    """
+    writer = documents.repartition("run_label").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_label").json(path)
+
+
+def read_documents_by_label(spark: SparkSession, path: str) -> DataFrame:
+    """Documents written by label; a filter on `run_label` decides which partitions are read."""
+    scanned = spark.read.schema(RUN_DOCUMENT).options(mode="FAILFAST").json(path)
+    return scanned.withColumn("file", F.col("_metadata.file_path")).select(*RUN_DOCUMENT.names, "file")
+
+
 def write_run_summary(summary: DataFrame, path: str) -> None:
     """One JSON object per run and line, each with its `run_label`."""
     summary.write.json(path)
