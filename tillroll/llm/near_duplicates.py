@@ -58,8 +58,10 @@ def _frame(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def common_bins(docs: DataFrame, text: str = "text") -> np.ndarray:
     """For each bin of shingle hashes 0, or the binary order of how many texts hold a frequent shingle of it.
 
-    Only bins that stand out in a task are summed. What is missed costs time, not
-    links, as any one order of shingles is right. The driver gets BINS rows at most.
+    Each task gives what its bins hold beyond their mean and its spread, so that a passage
+    which is a little above them in every task adds up, while most bins need no exchange.
+    The order decides time, not links, as any one order of shingles is right. The driver
+    gets BINS rows at most.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +70,9 @@ def common_bins(docs: DataFrame, text: str = "text") -> np.ndarray:
             sets = shingle_sets(batch.column(0))
             every = np.concatenate([np.empty(0, np.uint64), *sets])
             counts += np.bincount((every & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-        often = np.flatnonzero(counts > 8 + 4 * counts.mean())
-        yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(counts[often])], names=["bin", "n"])
+        beyond = counts - math.ceil(counts.mean() + math.sqrt(counts.mean()))
+        often = np.flatnonzero(beyond > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(beyond[often])], names=["bin", "n"])
 
     sums = docs.select(F.col(text).alias("text")).mapInArrow(counted, "bin long, n long")
     got = sums.groupBy("bin").agg(F.sum("n").alias("n")).collect()
