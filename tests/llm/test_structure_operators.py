@@ -1,6 +1,7 @@
 """Near duplicates, pages, conversations, packing, vectors, components and the pipeline."""
 
 import hashlib
+import html
 import random
 import re
 import zlib
@@ -163,6 +164,64 @@ def test_boilerplate_inside_and_around_an_article():
     assert text("<nav>only a menu</nav>") == ""
 
 
+def given_article(page):
+    """The text between the edges of the page's article, by its few tags alone."""
+    inside = re.search(r"<article>(.*)</article>", page, re.DOTALL)[1].replace("<br>", " ")
+    assert set(re.findall(r"</?([a-z0-9]+)", inside)) <= {"p", "b", "h1"}
+    blocks = re.sub(r"<[^>]+>", "", re.sub(r"</?(?:p|h1)>", "\0", inside)).split("\0")
+    return "\n".join(b for b in (" ".join(html.unescape(block).split()) for block in blocks) if b)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_given_articles_come_out_word_for_word(spark, sf):
+    pages = read_table(spark, f"/root/testdata/{sf}", "pages")
+    got = {r.page_id: r for r in html_text.extract_pages(pages, html_text.fit_weights(pages)).collect()}
+    for page in pages.collect():
+        assert got[page.page_id].text == given_article(page.html)
+        assert got[page.page_id].n_chars == len(got[page.page_id].text)
+
+
+STORY = "<p>One two three four five.</p><p>Six seven eight nine ten.</p>"
+PLAIN = "One two three four five.\nSix seven eight nine ten."
+
+
+@pytest.mark.parametrize(
+    "body, expected",
+    [
+        (f"<form id=aspnetForm><div>{STORY}</div><nav>menu</nav></form>", PLAIN),
+        (f"<form><article>{STORY}</article><input></form>", PLAIN),
+        (f"<div class='content with-sidebar'>{STORY}</div>", PLAIN),
+        (f"<div class='modal-open overlay'><p>x</p>{STORY}</div>", "x\n" + PLAIN),
+        (f"<aside class=x><p>more more<article>{STORY}</article>", PLAIN),
+        (f"<aside><p>more more</p></aside><article>{STORY}</article>", PLAIN),
+        (f"<aside><article><p>Teaser.</p></article></aside><article>{STORY}</article>", PLAIN),
+        (f"<main><h1>Title</h1><article>{STORY}</article></main>", "Title\n" + PLAIN),
+        (f"<article>{STORY}</article><p>between</p><article><p>And more.</p></article>", PLAIN + "\nAnd more."),
+        (f"<article>a b c</article><div>{'word ' * 50}</div>", "a b c"),
+        (f"<article class='post tag-ad category-social'>{STORY}</article>", PLAIN),
+        (f"<article>{STORY}<article class='comment'><p>A reader.</p></article></article>", PLAIN),
+        (
+            f"<article>{STORY}<aside>no</aside><p>End</p><table><tr><td>1<td>2</table><ul><li><a href=x>link</a></ul>"
+            "<span class=ad>no</span>last</article>",
+            PLAIN + "\nEnd\n1\n2\nlink\nlast",
+        ),
+        (f"<div>{STORY}</div><section class=comments>{'<p>many words of readers</p>' * 40}</section>", PLAIN),
+        (f"<p>Before <b>bold</b> <i>i</i></p>{STORY}", "Before bold i\n" + PLAIN),
+    ],
+)
+def test_whole_articles(body, expected):
+    assert html_text.extract(f"<html><body>{body}</body></html>", {}) == expected
+
+
+def test_the_scan_finds_the_largest_sum():
+    rng = random.Random(8)
+    for _ in range(300):
+        scores = [rng.choice([-3.0, -1.0, -0.25, 0.0, 0.5, 1.0, 2.0]) for _ in range(rng.randint(0, 30))]
+        start, end = html_text.best_run(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores) + 1) for j in range(i, len(scores) + 1)]
+        assert sum(scores[start:end]) == max(sums)
+
+
 def test_ids_of_an_article_s_own_parts():
     def text(body):
         return html_text.extract(f"<html><body>{body}</body></html>", {})
