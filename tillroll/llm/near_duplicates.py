@@ -75,10 +75,10 @@ def common_bins(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(beyond[often])], names=["bin", "n"])
 
     sums = docs.select(F.col(text).alias("text")).mapInArrow(counted, "bin long, n long")
-    got = sums.groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    level = F.ceil(F.log2(F.sum("n") + 1)).cast("byte")  # its binary order
+    got = sums.groupBy("bin").agg(level.alias("level")).withColumn("bin", F.col("bin").cast("int")).toArrow()
     order = np.zeros(BINS, np.uint8)
-    for row in got:
-        order[row["bin"]] = row["n"].bit_length()
+    order[got["bin"].to_numpy()] = got["level"].to_numpy()
     return order
 
 
