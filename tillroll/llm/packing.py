@@ -64,7 +64,7 @@ class WordIds:
     token group each, so their step is left out; marks behind them are a group too.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached_words: int = _CACHED_WORDS) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -76,7 +76,11 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache = RecentResults(_CACHED_WORDS)
+        self.cache = RecentResults(cached_words)
+
+    def forget(self) -> None:
+        """Drop the words learned so far."""
+        self.cache = RecentResults(self.cache.most)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text, given in UTF-8.
@@ -144,22 +148,31 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[tuple[str, int], WordIds] = {}
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces_of(
+    docs: DataFrame,
+    tokenizer: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    cached_words: int = _CACHED_WORDS,
+    keep_words: bool = True,
+) -> DataFrame:
     """`doc_id, piece, start, length, ids_crc32`: each text's ids, END_ID last, cut every CAPACITY ids.
 
     tokenizer: path of the vocabulary file, the same on every executor. Null and
     empty texts are one piece with END_ID alone; repeated rows are texts of their own.
+    A worker remembers the ids of up to two times `cached_words` words, from one task to
+    the next unless `keep_words` is false; both decide time and memory, not results.
     """
     frame = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = WordIds(tokenizer)
-        encoder = _encoders[tokenizer]
+        if (tokenizer, cached_words) not in _encoders:
+            _encoders[tokenizer, cached_words] = WordIds(tokenizer, cached_words)
+        encoder = _encoders[tokenizer, cached_words]
         for batch in slices_by_bytes(batches, "text", 1 << 20):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encoder.encode(batch.column(1))):
@@ -175,6 +188,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
                 [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (start, length, crc))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        if not keep_words:
+            encoder.forget()
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
@@ -282,6 +297,6 @@ def pack(pieces: DataFrame, part_pieces: int = PART_PIECES) -> DataFrame:
         level += 1
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per piece: `doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap`."""
-    return pack(pieces_of(docs, tokenizer, doc_id, text))
+def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", **words) -> DataFrame:
+    """A row per piece: `doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap`; `words` as in `pieces_of`."""
+    return pack(pieces_of(docs, tokenizer, doc_id, text, **words))
