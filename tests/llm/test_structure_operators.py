@@ -389,7 +389,7 @@ def test_shards_and_blocks_lose_no_links(spark):
 def test_all_queries_are_registered():
     assert QUERIES.keys() <= __spark_entry__.queries().keys()
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES if name != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_pipeline_stages(spark):
@@ -417,3 +417,38 @@ def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark, edge_documents):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == [1, 2, 3, 4, 5, 7, 9]
     assert kept.columns == edge_documents.columns
+
+
+def test_all_stages_on_edge_rows(spark, edge_documents, no_documents):
+    """Each stage on all edge rows, and the chain of all five on an empty table."""
+    import corpus_pipeline
+
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, edge_documents, SF)
+        assert kept.columns == edge_documents.columns
+        assert 0 < kept.count() <= edge_documents.count()
+        assert stage(spark, no_documents, SF).count() == 0
+    pieces = corpus_pipeline.pack_sequences(spark, edge_documents, SF)
+    assert pieces.filter("piece = 0").count() == edge_documents.count()
+    docs = edge_documents
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).cache()
+        docs.count()
+    assert docs.select("doc_id").distinct().count() >= 1
+
+
+def test_two_texts_of_one_identifier_are_two_rows(spark, documents):
+    import corpus_pipeline
+
+    one, other = "alpha beta gamma delta epsilon " * 9, "one two three four five six seven " * 9
+    rows = [(1, one), (1, other), (1, one), (2, one), (None, other), (None, "nobody has this text but me and no one")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], documents.schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", one), ("1", other), ("None", rows[-1][1])])
+
+
+def test_chat_query_with_more_columns(spark, tmp_path):
+    turns = read_table(spark, SF, "conversations")
+    turns.withColumn("lang", F.lit("en")).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op5_chat_formatting"](spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, QUERIES["op5_chat_formatting"](spark, SF).collect()))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import boosting, licenses, pii, quality, sentence_pieces, toxicity
+from tillroll.llm.common import read_table
 from tillroll.llm.common import crc_fold
 from tillroll.llm.queries import tokenizer_path
 
@@ -240,3 +241,50 @@ def test_pieces_equal_the_library(spark, documents, edge_documents, no_documents
     assert texts == sorted((str(r.doc_id), r.text or "") for r in docs.collect())
     assert sentence_pieces.round_trip(docs, path).filter("not same").count() == 0
     assert sentence_pieces.round_trip(no_documents, path).count() == 0
+
+
+# --- licenses: forms, and base places by plain code ---------------------------------------
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("licensed under CC BY-NC 3.0", "cc-by,cc-by-nc"),
+        ("CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"),
+        ("Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International", "cc-by-nc-nd"),
+        ("// SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+        ("SPDX-License-Identifier: CC-BY-SA-3.0", "cc-by,cc-by-sa"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl"),
+        ("Licensed under the Apache License 2.0", "apache-2.0"),
+        ("Licensed under the Apache License, Version 2.0 (the License)", "apache-2.0"),
+        ("this is under the mit license", "mit"),
+        ("GNU GPL v3", "gpl"),
+        ("This library is under the GNU Lesser General Public License v2.1", "gpl,lgpl"),
+        ("the license under which we apply it was a general one", ""),
+        ("a mit license under the tree, version 2.0", ""),
+    ],
+)
+def test_license_forms(spark, text, labels):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert licenses.scan_licenses(docs).first().labels == labels
+
+
+def test_base_places_equal_a_plain_recount(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    found = 0
+    for doc in docs.collect():
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), doc.text or "")
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+        places = []
+        for phrase, label in licenses.BASE_PHRASES.items():
+            k = phrase.split()
+            places += [(i, label) for i in range(len(words)) if words[i : i + len(k)] == k]
+        row = got[doc.doc_id]
+        assert (row.n_words, row.n_base) == (len(words), len(places))
+        starts = [i for i, _ in places]
+        assert (row.first_word, row.last_word) == (min(starts, default=None), max(starts, default=None))
+        assert row.base_labels == ",".join(sorted({label for _, label in places}))
+        assert {label for _, label in places} <= set(row.labels.split(",")) | {""}
+        found += len(places)
+    assert found

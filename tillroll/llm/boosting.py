@@ -40,7 +40,9 @@ class Forest:
 
 
 def _edges(x: np.ndarray) -> list[np.ndarray]:
-    """Cut points of each feature, between values that occur."""
+    """Cut points of each feature, between values that occur; none without rows."""
+    if not len(x):
+        return [np.empty(0)] * x.shape[1]
     quantiles = np.linspace(0, 1, BINS + 1)[1:-1]
     return [np.unique(np.quantile(column, quantiles, method="lower")) for column in x.T]
 

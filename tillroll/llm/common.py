@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,6 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.checks.scratch import use_local_scratch
 from tillroll.sources import staging
 
 #: White space between words; the same bytes in UTF-8.
@@ -28,12 +28,24 @@ def _small_batches(spark: SparkSession) -> None:
         spark.conf.set(_ARROW, str(ARROW_ROWS))
 
 
+_local_folders: list[tempfile.TemporaryDirectory] = []
+
+
+def _name_folder(spark: SparkSession) -> None:
+    """A `spark.checkpoint.dir` for a session in a single process that names none, as in trials."""
+    alone = spark.conf.get("spark.master", "").startswith("local") and "cluster" not in spark.conf.get("spark.master")
+    if alone and not spark.conf.get("spark.checkpoint.dir", None):
+        if not _local_folders:
+            _local_folders.append(tempfile.TemporaryDirectory(prefix="tillroll-"))
+        spark.conf.set("spark.checkpoint.dir", _local_folders[0].name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the folder in `spark.checkpoint.dir` and read back; see `staging.staged`.
 
-    Only a session on a local master may leave the setting out.
+    Only a session on a local master may leave the setting out; on a cluster that is an error.
     """
-    use_local_scratch(df.sparkSession)
+    _name_folder(df.sparkSession)
     _small_batches(df.sparkSession)
     return staging.staged(df, name)
 

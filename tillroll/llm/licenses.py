@@ -20,30 +20,72 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Sentences of public license notices, with the label each stands for.
+# Sentences of public license notices, with the label each stands for. Versions
+# are left out where the label has none, so that any version may follow.
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2.0"),
+    ("apache-2.0", "licensed under the apache license"),
+    ("apache-2.0", "apache license version 2.0"),
+    ("apache-2.0", "under the apache license 2.0"),
     ("apache-2.0", "you may not use this file except in compliance with the license"),
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("mit", "under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mit", "the software is provided as is without warranty of any kind express or implied"),
-    ("gpl", "licensed under the gnu general public license version 2"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("agpl", "licensed under the gnu affero general public license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("gpl", "licensed under the gnu general public license"),
+    ("gpl", "under the terms of the gnu general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", "under the gnu gpl"),
+    ("gpl", "gnu gpl v2"),
+    ("gpl", "gnu gpl v3"),
+    ("gpl", "gnu gpl version"),
+    ("lgpl", "under the gnu lesser general public license"),
+    ("lgpl", "under the terms of the gnu lesser general public license"),
+    ("lgpl", "under the gnu lgpl"),
+    ("agpl", "gnu affero general public license"),
+    ("agpl", "under the gnu agpl"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "under the bsd license"),
+    ("bsd", "3 clause bsd license"),
+    ("bsd", "2 clause bsd license"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
-    ("cc-by", "licensed under cc by 4.0"),
-    ("cc-by-sa", "licensed under cc by sa 4.0"),
-    ("cc-by-nc", "licensed under cc by nc 4.0"),
-    ("cc-by-nd", "licensed under cc by nd 4.0"),
-    ("cc-by", "licensed under a creative commons attribution 4.0 international license"),
+    ("mpl-2.0", "mozilla public license 2.0"),
+    ("mpl-2.0", "mozilla public license version 2.0"),
+    ("epl", "under the eclipse public license"),
+    ("cc-by", "licensed under cc by"),
+    ("cc-by-sa", "cc by sa"),
+    ("cc-by-nc", "cc by nc"),
+    ("cc-by-nd", "cc by nd"),
+    ("cc-by-nc-sa", "cc by nc sa"),
+    ("cc-by-nc-nd", "cc by nc nd"),
+    ("cc-by", "creative commons attribution"),
+    ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc-by-sa", "creative commons attribution share alike"),
+    ("cc-by-nc", "creative commons attribution noncommercial"),
+    ("cc-by-nc", "creative commons attribution non commercial"),
+    ("cc-by-nd", "creative commons attribution noderivatives"),
+    ("cc-by-nd", "creative commons attribution noderivs"),
+    ("cc-by-nc-sa", "creative commons attribution noncommercial sharealike"),
+    ("cc-by-nc-nd", "creative commons attribution noncommercial noderivatives"),
+    ("cc-by-nc-nd", "creative commons attribution noncommercial noderivs"),
+    ("cc0", "creative commons zero"),
+    ("cc0", "creative commons cc0"),
     ("cc0", "dedicated to the public domain under the creative commons zero license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
+# Identifiers in `SPDX-License-Identifier:` lines, without their versions where the label has none.
+SPDX = [
+    ("apache-2.0", "Apache-2.0"), ("mit", "MIT"), ("isc", "ISC"), ("gpl", "GPL"), ("lgpl", "LGPL"), ("agpl", "AGPL"),
+    ("bsd", "BSD"), ("mpl-2.0", "MPL-2.0"), ("epl", "EPL"), ("cc-by", "CC-BY"), ("cc-by-sa", "CC-BY-SA"),
+    ("cc-by-nc", "CC-BY-NC"), ("cc-by-nd", "CC-BY-ND"), ("cc-by-nc-sa", "CC-BY-NC-SA"),
+    ("cc-by-nc-nd", "CC-BY-NC-ND"), ("cc0", "CC0"), ("unlicense", "Unlicense"),
+]
+TEMPLATES += [(label, f"SPDX-License-Identifier {name}") for label, name in SPDX]
+
 K = 3  # words of a group
 NEAR = 3  # diagonals this close are one span
 COVERAGE = 0.75  # share of a template's groups that a span needs
@@ -85,8 +127,8 @@ def _template_groups(df: DataFrame) -> DataFrame:
 def license_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id, text_hash, label, template, first_word, end_word, coverage`, a row per verified span.
 
-    Rows with equal identifier and text give their spans once. Null and empty
-    texts give none. Nothing but the two named columns is read.
+    Rows with equal identifier and text give their spans once; a span within another
+    one is part of it. Null and empty texts give none. Nothing but the two named columns is read.
     """
     groups = (
         docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words_of(F.col(text)).alias("words"))
@@ -113,7 +155,15 @@ def license_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     coverage = F.col("n_found") / F.col("n_groups")
     dense = F.col("end_word") - F.col("first_word") <= F.col("n_groups") + K - 1 + 2 * NEAR
-    return spans.withColumn("coverage", coverage).filter((F.col("coverage") >= COVERAGE) & dense).select(
+    verified = spans.withColumn("coverage", coverage).filter((F.col("coverage") >= COVERAGE) & dense)
+    # `cc by nc` inside `cc by nc sa` is no license of its own: what lies within a longer span goes.
+    earlier = (
+        Window.partitionBy("doc_id", "text_hash")
+        .orderBy("first_word", F.desc("end_word"), "template")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    reached = F.coalesce(F.max("end_word").over(earlier), F.lit(0))
+    return verified.withColumn("reached", reached).filter("end_word > reached").select(
         "doc_id", "text_hash", "label", "template", "first_word", "end_word", "coverage"
     )
 

@@ -107,18 +107,18 @@ def _base_failed(counts: np.ndarray) -> np.ndarray:
 
 
 def sample_features(sample: DataFrame) -> DataFrame:
-    """`doc_id, y, features` of `doc_id, y, text`; a null text counts as empty."""
+    """`doc_id, y, features, text_hash` of `doc_id, y, text`; a null text counts as empty."""
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, "text"):
             _, features = _stats_of(batch.column(2).to_pylist())
             listed = pa.array(features.tolist(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), listed], names=["doc_id", "y", "features"]
+                [batch.column(0), batch.column(1), listed, batch.column(3)], names=["doc_id", "y", "features", "text_hash"]
             )
 
-    schema = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, y double, features array<double>"
-    return sample.select("doc_id", "y", "text").mapInArrow(stats, schema)
+    schema = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, y double, features array<double>, text_hash long"
+    return sample.select("doc_id", "y", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(stats, schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, text: str = "text") -> DataFrame:
@@ -143,7 +143,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     and never asks for more than 0.5. Without labels everything is kept.
     """
     sample = labelled_sample(docs, labels, "quality", rows)
-    got = sample_features(sample).orderBy("doc_id").toPandas()  # bounded by `rows`
+    got = sample_features(sample).orderBy("doc_id", "text_hash").toPandas()  # bounded by `rows`
     x = np.array(got["features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy(dtype=float)
     if len(set(y.tolist())) < 2:

@@ -232,7 +232,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     prior = float((got.loc[bare, "y"].sum() + 0.5) / (bare.sum() + 50))
     # Examples with the same strongest term lie side by side, which keeps the blocks' bounds tight.
     kept = got[~bare].assign(first=lambda g: [t[int(np.argmax(w))] for t, w in zip(g["terms"], g["weights"])])
-    kept = kept.sort_values(["first", "doc_id"])
+    order = kept.assign(key=[(f, i, tuple(t), tuple(w)) for f, i, t, w in zip(kept["first"], kept["doc_id"], kept["terms"], kept["weights"])])
+    kept = order.sort_values("key").drop(columns="key")
     index = _indexed(kept, idf, term_no, prior)
     votes = []
     for i, (t, w) in enumerate(zip(kept["terms"], kept["weights"])):
