@@ -201,6 +201,114 @@ def test_surrogates_keep_form_and_coreference(spark):
     assert re.search(r"Mrs\. [A-Z][a-z]+a [A-Z][a-z]+h\.", one)
 
 
+def new_text(text, key=None):
+    return pii.replaced_text(text, pii.usable_key(key or KEY), {})[0]
+
+
+def test_untitled_mentions_share_the_surrogate():
+    got = new_text("Dear Mr John Smith, John Smith and Smith met Mrs Anna Smith. Smithson and john stay.")
+    assert not re.search(r"\b(John|Smith|Anna)\b", got)
+    m = re.fullmatch(r"Dear Mr (\w+) (\w+), (\w+) (\w+) and (\w+) met Mrs (\w+) (\w+)\. Smithson and john stay\.", got)
+    john, smith = m[1], m[2]
+    assert m.groups() == (john, smith, john, smith, smith, m[6], smith) and john[-1] == "n" and m[6][-1] == "a"
+    assert new_text("Mr Smith called") == f"Mr {smith} called"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "host 2606:4700:20::681a:ad1 up",
+        "call 415 555 2671 now",
+        "ring 020 7946 0958 or so",
+        "number 123 45 6789 on file",
+        "card 4417744280351547 here",
+        "mail someone@gmail.com please",
+    ],
+)
+def test_further_forms_are_found(text):
+    secret = text.split(" ", 1)[1].rsplit(" ", 1)[0].removesuffix(" or")
+    got = new_text(text)
+    assert got != text and secret not in got
+    assert new_text(got + " ") != got  # the surrogate is of the same kind, so it is found again
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "user_id=1234567890123 at 1700000000000 ms",
+        "an order of 9807915762804490 pieces",
+        "version 10.2.3.4 and v1.2.3.4 and Release 4.3.2.1 of it",
+        "at 12:30:45 std::vector and a::b and ::",
+        "rows 100 200 3000 4000 and 12 34 5678",
+        "no title: John Smith",
+    ],
+)
+def test_harmless_numbers_stay(text):
+    assert new_text(text) == text
+
+
+def test_addresses_stay_in_their_range():
+    import ipaddress
+
+    for own in ("127.0.0.1", "10.20.30.40", "192.168.1.1", "172.16.5.5", "8.8.8.8", "fe80::1:2:3", "2606:4700:20::681a:ad1"):
+        new = pii.surrogate("ip" if "." in own else "ipv6", own, KEY)
+        a, b = ipaddress.ip_address(own), ipaddress.ip_address(new)
+        assert new != own and (a.is_private, a.is_loopback, a.is_link_local, a.is_global) == (b.is_private, b.is_loopback, b.is_link_local, b.is_global)
+
+
+def test_mail_goes_to_nobody():
+    got = pii.surrogate("email", "Some.One@gmail.com", KEY)
+    assert got.endswith(".com.example") and "gmail" not in got
+    assert pii.surrogate("email", "x@mail.example.com", KEY).endswith("example.com")
+
+
+def test_long_and_missing_keys(spark):
+    docs = spark.createDataFrame([(1, TEXT)], "doc_id long, text string")
+    got = pii.replace_personal_data(docs, b"k" * 200).first().text
+    assert got != TEXT and got != pii.replace_personal_data(docs, KEY).first().text
+
+    class Cluster:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    from tillroll.llm.queries import pii_key
+
+    with pytest.raises(RuntimeError, match="surrogateKey"):
+        pii_key(Cluster(**{"spark.master": "yarn"}))
+    assert pii_key(Cluster(**{"spark.master": "yarn", "spark.tillroll.surrogateKey": "s"})) == b"s"
+
+
+def test_planted_entities_are_all_replaced_and_kept_apart(spark):
+    """Entities made without the finder's patterns, planted in plain words: none stays, none meets, all recur alike."""
+    rng = random.Random(31)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda n=6: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + c for c in "0123456789" if pii._luhn(body) == int(c))
+
+    makers = [
+        lambda: f"{word()}.{word()}@{word()}.org",
+        lambda: "+1 ({}) 555-{}".format(rng.randint(200, 999), digits(4)),
+        lambda: f"{rng.randint(20, 99)}.{rng.randint(1, 250)}.{rng.randint(1, 250)}.{rng.randint(1, 250)}",
+        card,
+        lambda: word(32).translate(str.maketrans("ghijklmnop", "0123456789")) + "a" * 8,
+        lambda: f"{rng.randint(100, 600)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}",
+    ]
+    planted = sorted({make() for make in makers for _ in range(60)})
+    rows = [(i, " ".join([word(), e, word(), word(), e, word()])) for i, e in enumerate(planted)]
+    got = pii.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()
+    seen = {}
+    for r in got:
+        first, second = rows[r.doc_id][1].split(planted[r.doc_id])[0], rows[r.doc_id][1].split(planted[r.doc_id])[1]
+        assert planted[r.doc_id] not in r.text and r.text.startswith(first) and second in r.text
+        new = r.text[len(first) :].split(second)[0]
+        assert r.text.count(new) == 2
+        seen[new] = planted[r.doc_id]
+    assert len(seen) == len(planted) and not set(seen) & set(planted)
+
+
 def test_hashed_surrogates_that_meet_get_another_attempt(spark, monkeypatch):
     original = pii._hashed
     monkeypatch.setattr(pii, "_hashed", lambda kind, plain, key, attempt: original(kind, "same" if attempt == 0 else plain, key, attempt))

@@ -4,9 +4,10 @@ A surrogate comes from a keyed permutation of all strings of its entity's form:
 which characters are digits, vowels, capital letters and so on. Two entities of one
 form never share a surrogate, entities of different forms can't, and none is its
 own surrogate. One entity has the same surrogate in every document, also where it
-is written with other separators. The few entities without a letter or digit to
-permute get a hash, and a check over the whole corpus gives new ones where two
-hashes meet.
+is written with other separators. Names are replaced word by word, so that a family
+name alone still refers to the one who was named in full. The few entities without a
+letter or digit to permute get a hash, and a check over the whole corpus gives new ones
+where two hashes meet.
 """
 
 from __future__ import annotations
@@ -39,12 +40,16 @@ _SECRET = re.compile(
 _HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+_VERSION = re.compile(r"(?:\b(?:version|ver|release|rev|build)\.?:?|\bv\.?)\s*$", re.IGNORECASE)  # before a number like an address
 _PHONE = re.compile(
     r"(?<![\w+])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
     r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]|\.\d)"
+    r"|(?<![\w.-])(?<!\d )[2-9]\d{2} [2-9]\d{2} \d{4}(?![\w-]| \d|\.\d)"
+    r"|(?<![\w.-])(?<!\d )0\d{2,4} \d{3,4} \d{3,4}(?![\w-]| \d|\.\d)"
 )
-_SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
+_SSN = re.compile(r"(?<![\w-])(?:\d{3}-\d{2}-\d{4}|(?<!\d )(?!000|666|9)\d{3} \d{2} \d{4}(?! \d))(?![\w-])")
 _CARD = re.compile(r"(?<![\w-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![\w-])")
 _NAME = re.compile(
     r"\b(Mrs?|Ms|Miss|Dr|Herrn?|Frau|Monsieur|Madame|Mme|Mlle|Señora?|Sra?|Srta)\.?[  ]"
@@ -52,7 +57,8 @@ _NAME = re.compile(
 )
 _TITLES = ("Mr", "Ms", "Miss", "Dr", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Mlle", "Señor", "Sr")
 _SECRET_WORDS = re.compile(r"pass(?:word|wd)|pwd|secret|api[_-]?key|access[_-]?key|auth[_-]?token", re.IGNORECASE)
-_RESERVED = ("example.com", "example.net", "example.org")
+_RESERVED = ("example.com", "example.net", "example.org", ".example", ".invalid", ".test")
+_NOBODY = "example"
 
 # Characters that stand for each other.
 _CLASSES = [
@@ -90,12 +96,17 @@ def find(text: str) -> list[tuple[int, int, str]]:
         add("key", _KEY)
         add("hex", _HEX)
         add("iban", _IBAN)
-        found += [(a, b, "ip") for a, b in (m.span() for m in _IP.finditer(text)) if _octets(text[a:b])]
+        for m in _IP.finditer(text):
+            if _octets(m[0]) and not _VERSION.search(text, max(0, m.start() - 16), m.start()):
+                found.append((*m.span(), "ip"))
         add("phone", _PHONE)
         add("ssn", _SSN)
-        add("card", _CARD)
+        # without separators only a right check digit tells a card from any other number
+        found += [(*m.span(), "card") for m in _CARD.finditer(text) if m[1] or _luhn(m[0][:-1]) == int(m[0][-1])]
+    if "::" in text or text.count(":") > 6:
+        found += [(*m.span(), "ipv6") for m in _IPV6.finditer(text) if _is_ipv6(m[0])]
     if any(title in text for title in _TITLES):
-        add("name", _NAME, 2)
+        found += _names(text)
     kept: list[tuple[int, int, str]] = []
     for span in found:  # in order of priority
         if all(span[1] <= a or b <= span[0] for a, b, _ in kept):
@@ -104,6 +115,24 @@ def find(text: str) -> list[tuple[int, int, str]]:
 
 
 _DIGIT = re.compile(r"[0-9]")
+_NAME_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _names(text: str) -> list[tuple[int, int, str]]:
+    """Each word of the names that stand behind a title, wherever it stands in the text."""
+    words = {word for m in _NAME.finditer(text) for word in _NAME_WORD.findall(m[2])}
+    return [(*m.span(), "name") for m in _NAME_WORD.finditer(text) if m[0] in words] if words else []
+
+
+def _is_ipv6(text: str) -> bool:
+    """An address, and not just a few short words between colons."""
+    if sum(map(bool, text.split(":"))) < 3:
+        return False
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
 
 
 def _octets(text: str) -> bool:
@@ -118,9 +147,43 @@ def _plain(kind: str, text: str) -> str:
         return text.lower()
     if kind == "ip":
         return str(ipaddress.IPv4Address(".".join(str(int(p)) for p in text.split("."))))
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(text))
     return text
 
 
+def usable_key(key: bytes) -> bytes:
+    """The key itself, or its digest if it is longer than the hash takes."""
+    return key if len(key) <= 64 else hashlib.blake2b(key).digest()
+
+
+# Ranges of addresses that are no one's own; what is in one stays in it.
+_RANGES = {
+    "ip": [
+        ipaddress.IPv4Network(n)
+        for n in (
+            "0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12",
+            "192.0.2.0/24", "192.168.0.0/16", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4",
+        )
+    ],
+    "ipv6": [ipaddress.IPv6Network(n) for n in ("::/32", "2001:db8::/32", "fc00::/7", "fe80::/10", "ff00::/8")],
+}
+
+
+def _new_address(kind: str, plain: str, key: bytes) -> str:
+    """Another address of the same range; a public one becomes a public one."""
+    whole = ipaddress.IPv4Address if kind == "ip" else ipaddress.IPv6Address
+    own = next((r for r in _RANGES[kind] if whole(plain) in r), None)
+    if own:
+        first = int(own.network_address)
+        return str(whole(first + permute(key, f"{kind}{own}", int(whole(plain)) - first, own.num_addresses)))
+    x = int(whole(plain))
+    while True:  # on along the permutation's cycle, which stays a permutation
+        x = permute(key, kind, x, 1 << whole(0).max_prefixlen)
+        if not any(whole(x) in r for r in _RANGES[kind]):
+            return str(whole(x))
+
+
 def _number(key: bytes, *parts: object) -> int:
     data = "\x1f".join(map(str, parts)).encode()
     return int.from_bytes(hashlib.blake2b(data, key=key, digest_size=64).digest(), "big")
@@ -150,10 +213,11 @@ def permute(key: bytes, form: str, x: int, size: int) -> int:
 
 
 def _permuted(
-    key: bytes, kind: str, text: str, classes: dict[str, str], fixed: set[int] = frozenset(), leading: set[int] = frozenset()
+    key: bytes | None, kind: str, text: str, classes: dict[str, str], fixed: set[int] = frozenset(), leading: set[int] = frozenset()
 ) -> str | None:
     """The text with the characters of known classes permuted; None if there is nothing to permute.
 
+    key: None only asks whether there is.
     fixed: places that stay. leading: digits that stay 0 or 1, or stay above.
     """
     owns = [None if i in fixed else classes.get(c) for i, c in enumerate(text)]
@@ -167,6 +231,8 @@ def _permuted(
             size *= len(own)
     if size < 2:
         return None
+    if key is None:
+        return text  # there is something to permute
     x = permute(key, form, x, size)
     out = list(text)
     for i in range(len(text) - 1, -1, -1):
@@ -182,18 +248,22 @@ def _luhn(digits: str) -> int:
     return -sum(d - 9 if d > 9 else d for d in doubled) % 10
 
 
-def _new_plain(kind: str, plain: str, key: bytes) -> str | None:
+def _new_plain(kind: str, plain: str, key: bytes | None) -> str | None:
     if kind == "email":
         domain_at = plain.index("@") + 1
         labels = plain[domain_at:].split(".")
         reserved = next((r for r in _RESERVED if plain.endswith(r)), None)
         tail = len(reserved) if reserved else len(labels[-1])
-        return _permuted(key, kind, plain, _ANY, set(range(len(plain) - tail, len(plain))))
+        new = _permuted(key, kind, plain, _ANY, set(range(len(plain) - tail, len(plain))))
+        # The new domain may be somebody's; below a reserved name it is nobody's.
+        return new if reserved or new is None else f"{new}.{_NOBODY}"
     if kind == "card":
         body = _permuted(key, f"card{(int(plain[-1]) - _luhn(plain[:-1])) % 10}", plain[:-1], _DIGITS)
+        if key is None:
+            return body
         return body + str((_luhn(body) + int(plain[-1]) - _luhn(plain[:-1])) % 10)
-    if kind == "ip":
-        return str(ipaddress.IPv4Address(permute(key, kind, int(ipaddress.IPv4Address(plain)), 1 << 32)))
+    if kind in _RANGES:
+        return plain if key is None else _new_address(kind, plain, key)
     if kind == "phone":
         area = len(plain) - 10  # the country code before it stays
         leading = {area, area + 3} if area >= 0 else set()  # no area or exchange begins with 0 or 1
@@ -228,8 +298,8 @@ def surrogate(kind: str, text: str, key: bytes, attempts: dict[str, int] = {}) -
     if new is None:
         return _hashed(kind, plain, key, attempts.get(_digest(kind, plain, key), 0))
     if kind == "email":
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(text, new))
-    if kind == "ip" or len(new) == len(text):
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(text, new)) + new[len(text) :]
+    if kind in _RANGES or len(new) == len(text):
         return new
     rest = iter(new)
     return "".join(next(rest) if c.isascii() and c.isalnum() else c for c in text)
@@ -239,8 +309,14 @@ def _digest(kind: str, plain: str, key: bytes) -> str:
     return hashlib.blake2b(f"{kind}\x1f{plain}".encode(), key=key, digest_size=SHORT_KEY_BYTES).hexdigest()
 
 
-def entities(docs: DataFrame, key: bytes, attempts: dict[str, int] = {}, text: str = "text") -> DataFrame:  # noqa: B006
-    """`kind, entity, surrogate` of every occurrence; `entity` is a keyed digest, never the original."""
+def entities(
+    docs: DataFrame, key: bytes, attempts: dict[str, int] = {}, text: str = "text", hashed_only: bool = False  # noqa: B006
+) -> DataFrame:
+    """`kind, entity, surrogate` of every occurrence; `entity` is a keyed digest, never the original.
+
+    `hashed_only` leaves out entities with something to permute.
+    """
+    key = usable_key(key)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_by_bytes(batches, "text"):
@@ -248,6 +324,8 @@ def entities(docs: DataFrame, key: bytes, attempts: dict[str, int] = {}, text: s
             for value in batch.column(0).to_pylist():
                 for a, b, kind in find(value or ""):
                     plain = _plain(kind, value[a:b])
+                    if hashed_only and _new_plain(kind, plain, None) is not None:
+                        continue
                     rows[kind, _digest(kind, plain, key)] = _plain(kind, surrogate(kind, value[a:b], key, attempts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.string()), pa.array([e for _, e in rows], pa.string()), pa.array(list(rows.values()), pa.string())],
@@ -275,6 +353,8 @@ def distinct_attempts(docs: DataFrame, key: bytes, text: str = "text") -> dict[s
     10^11 pairs, so what reaches the driver is next to nothing at any size.
     """
     attempts: dict[str, int] = {}
+    if entities(docs, key, text=text, hashed_only=True).isEmpty():
+        return attempts  # nothing but permuted ones
     for _ in range(MOST_ATTEMPTS):
         met = collisions(entities(docs, key, attempts, text)).select("least", "largest").collect()
         if not met:
@@ -305,6 +385,7 @@ def replace(
     stays null and an empty one empty; repeated rows stay repeated; other columns
     are not read.
     """
+    key = usable_key(key)
     frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,6 +413,7 @@ def replace_personal_data(docs: DataFrame, key: bytes, doc_id: str = "doc_id", t
 def replace_in_rows(docs: DataFrame, key: bytes, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """All rows and columns, with entities replaced in `text`, and `n_chars` (if there) counted again where one was."""
     attempts = distinct_attempts(docs, key, text)
+    key = usable_key(key)
     at = docs.columns.index(text)
     count_at = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
