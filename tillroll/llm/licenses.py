@@ -9,10 +9,14 @@ template's groups were really found in it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillroll.llm.common import staged
+
 # Phrases that count wherever they stand, and their labels.
 BASE_PHRASES = {
     "cc by": "cc-by",
@@ -112,6 +116,24 @@ def _groups(words: Column) -> Column:
     return F.filter(every, lambda g: g.isNotNull())
 
 
+def _likely_groups(words: Column) -> Column:
+    """`pos, group` of the groups whose words all stand at their place in some template's group.
+
+    No other group can join, so its text need not be built.
+    """
+    split = [re.findall("[0-9a-z]+", text.lower()) for _, text in TEMPLATES]
+    at = [sorted({t[i + j] for t in split for i in range(len(t) - K + 1)}) for j in range(K)]
+
+    def group(w: Column, i: Column) -> Column:
+        rest = [F.get(words, i + j) for j in range(1, K)]
+        fits = w.isin(at[0])
+        for word, allowed in zip(rest, at[1:]):
+            fits &= word.isin(allowed)
+        return F.when(fits, F.struct(i.alias("pos"), F.concat_ws(" ", w, *rest).alias("group")))
+
+    return F.filter(F.transform(words, group), lambda g: g.isNotNull())
+
+
 def _template_groups(df: DataFrame) -> DataFrame:
     """`template, label, n_groups, t_pos, group, group_hash`; its size is that of TEMPLATES."""
     rows = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(TEMPLATES)))
@@ -124,22 +146,34 @@ def _template_groups(df: DataFrame) -> DataFrame:
     )
 
 
+def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`doc_id, text_hash, n_words, places, groups` of each row: all that the texts are read for."""
+    words = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words_of(F.col(text)).alias("words")
+    )
+    return words.select(
+        "doc_id",
+        "text_hash",
+        F.size("words").cast("long").alias("n_words"),
+        _base_places(F.col("words")).alias("places"),
+        _likely_groups(F.col("words")).alias("groups"),
+    )
+
+
 def license_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id, text_hash, label, template, first_word, end_word, coverage`, a row per verified span.
 
     Rows with equal identifier and text give their spans once; a span within another
-    one is part of it. Null and empty texts give none. Nothing but the two named columns is read.
+    one is part of it. Null and empty texts give none. Nothing but the two named
+    columns is read.
     """
-    groups = (
-        docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words_of(F.col(text)).alias("words"))
-        .select("doc_id", "text_hash", _groups(F.col("words")).alias("groups"))
-        # The outer form: for the inner one Spark puts a test of the array's size below the
-        # projections, and there the words would be taken from the text again for each word.
-        .select("doc_id", "text_hash", F.posexplode_outer("groups").alias("pos", "group"))
-        .withColumn("group_hash", F.xxhash64("group"))
-    )
+    return _spans(read_texts(docs, doc_id, text))
+
+
+def _spans(read: DataFrame) -> DataFrame:
+    groups = read.select("doc_id", "text_hash", F.inline("groups")).withColumn("group_hash", F.xxhash64("group"))
     # The template side is a constant list of this module, so its size is bounded.
-    hits = groups.join(F.broadcast(_template_groups(docs)), ["group_hash", "group"])
+    hits = groups.join(F.broadcast(_template_groups(read)), ["group_hash", "group"])
     votes = hits.groupBy(
         "doc_id", "text_hash", "template", "label", "n_groups", (F.col("pos") - F.col("t_pos")).alias("diagonal")
     ).agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.collect_set("t_pos").alias("found"))
@@ -192,22 +226,19 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     0. Null and empty texts have no words, no labels and score 0; repeated rows
     stay repeated; a null identifier is a value like another.
     """
-    base = (
-        docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words_of(F.col(text)).alias("words"))
-        .select("doc_id", "text_hash", F.size("words").alias("n_words"), _base_places(F.col("words")).alias("places"))
-        .select(
-            "doc_id",
-            "text_hash",
-            F.col("n_words").cast("long"),
-            F.size("places").cast("long").alias("n_base"),
-            F.get("places.place", F.lit(0)).cast("long").alias("first_word"),
-            F.get("places.place", F.size("places") - 1).cast("long").alias("last_word"),
-            F.array_distinct("places.label").alias("base"),
-        )
-    )
-    own = license_spans(docs, doc_id, text).groupBy(
-        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")
-    ).agg(F.collect_set("label").alias("own"), F.max("coverage").alias("coverage"))
+    read = staged(read_texts(docs, doc_id, text), "license-reads")
+    base = read.select(
+        "doc_id",
+        "text_hash",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.get("places.place", F.lit(0)).cast("long").alias("first_word"),
+        F.get("places.place", F.size("places") - 1).cast("long").alias("last_word"),
+        F.array_distinct("places.label").alias("base"),
+    )
+    own = _spans(read).groupBy(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(
+        F.collect_set("label").alias("own"), F.max("coverage").alias("coverage")
+    )
     joined = base.join(
         own,
         base["doc_id"].eqNullSafe(own["own_id"]) & (base["text_hash"] == own["own_hash"]),
