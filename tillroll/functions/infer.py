@@ -14,19 +14,21 @@ _DIGITS = 38  # of the widest decimal
 
 
 def kind_of(text: Column) -> Column:
-    """The bit of the narrowest type that the text fits; 0 for null."""
-    whole = text.rlike(_WHOLE)
-    return (
-        F.when(text.isNull(), 0)
-        .when(whole & text.try_cast("int").isNotNull(), INTEGER)
-        .when(whole & text.try_cast("bigint").isNotNull(), LONG)
-        .when(whole & text.try_cast(f"decimal({_DIGITS},0)").isNotNull(), DECIMAL)
-        .when(text.rlike(_NUMBER) | text.isin(_NAMED), DOUBLE)
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull(), DATE)
-        .when(text.try_cast("timestamp").isNotNull(), TIMESTAMP)
-        .when(F.lower(text).isin("true", "false"), BOOLEAN)
-        .otherwise(TEXT)
-    )
+    """The bit of the narrowest type that the text fits; 0 for null.
+
+    The first character decides which types are tried at all: most texts begin with a letter.
+    """
+    first = F.ascii(text)  # of an empty text 0
+    whole = F.when(text.try_cast("int").isNotNull(), INTEGER).when(text.try_cast("bigint").isNotNull(), LONG)
+    whole = whole.when(text.try_cast(f"decimal({_DIGITS},0)").isNotNull(), DECIMAL).otherwise(DOUBLE)
+    moment = F.when((F.length(text) == 10) & text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull(), DATE)
+    moment = moment.when(text.try_cast("timestamp").isNotNull(), TIMESTAMP).otherwise(TEXT)
+    numeric = F.when(text.rlike(_WHOLE), whole).when(text.rlike(_NUMBER) | text.isin(_NAMED), DOUBLE).otherwise(moment)
+    worded = F.when(text.isin(_NAMED), DOUBLE).when(F.lower(text).isin("true", "false"), BOOLEAN)
+    # letters; what is no ASCII letter, digit or sign may still be white space before a number
+    letter = ((first >= 65) & (first <= 90)) | ((first >= 97) & (first <= 122))
+    timely = worded.when(text.startswith("T") & text.try_cast("timestamp").isNotNull(), TIMESTAMP).otherwise(TEXT)
+    return F.when(text.isNull(), 0).when(letter, timely).otherwise(numeric)
 
 
 def kinds_of(text: Column) -> Column:
@@ -39,6 +41,11 @@ def digits_of(text: Column) -> Column:
     return F.max(F.when(text.rlike(_WHOLE), F.length(F.regexp_replace(text, r"^[+-]?0*", ""))))
 
 
+def is_settled(kinds: int | None) -> bool:
+    """Is a column with these kinds text, whatever else is still to come?"""
+    return bool(kinds) and type_of(kinds) == "string"
+
+
 def type_of(kinds: int | None, digits: int | None = None) -> str:
     """The narrowest type for all kinds of a column; text where none fits, or without any value."""
     if not kinds:

@@ -12,6 +12,7 @@ from tillroll.schemas import RAW_LINES
 from tillroll.sources.staging import staged
 
 # One dialect both ways: a quote inside a field is doubled.
+_FIRST_ROWS = 1_000  # looked at first, to know which columns are text
 _DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -46,9 +47,16 @@ def read_lines_once(
     texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
     parsed = spark.read.options(**_DIALECT, multiLine=multi_line, enforceSchema=True).schema(texts).csv(path)
     table = staged(parsed, name)
-    measures = [f(F.col(c)).alias(f"{n}{c}") for c in texts.names for n, f in (("k", infer.kinds_of), ("d", infer.digits_of))]
-    found = table.agg(*measures).first() if header else {}
-    kinds = [infer.type_of(found[f"k{c}"], found[f"d{c}"]) for c in texts.names]
+
+    # A column with a text among its first rows is text whatever follows; only the others are looked at in full,
+    # each by an aggregate of its own: it reads its column alone, and all together would be too much code to compile.
+    first = table.limit(_FIRST_ROWS).agg(*(infer.kinds_of(F.col(c)).alias(c) for c in texts.names))
+    found = first.first().asDict() if header else {}
+    for c in [c for c in texts.names if not infer.is_settled(found[c])]:
+        found[c] = table.agg(infer.kinds_of(F.col(c))).first()[0]
+    wide = [c for c in texts.names if infer.type_of(found[c]).startswith("decimal")]
+    digits = table.agg(*(infer.digits_of(F.col(c)).alias(c) for c in wide)).first().asDict() if wide else {}
+    kinds = [infer.type_of(found[c], digits.get(c)) for c in texts.names]
     return table.select(*(infer.typed(F.col(c), k).alias(n) for c, k, n in zip(texts.names, kinds, header)))
 
 
