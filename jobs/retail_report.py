@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
@@ -55,7 +56,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     read = read_lines_inferred if args.infer_schema else read_lines
     raw = timed("create dataframe", lambda: read(spark, args.input, multi_line=args.multi_line))
     # The one scan; what follows reads its small table, and each answer is fetched once.
-    scratch = f"report-groups-{args.run_label}"
+    # A name of its own, so that no other run's groups go with it, whatever the label.
+    scratch = f"report-groups-{uuid.uuid4().hex}"
     groups = timed(GROUPS_LABEL, lambda: group_lines(raw, exact=args.exact, name=scratch))
     try:
         answers = RetailAnswers(
