@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -371,16 +372,65 @@ def test_vectors_against_brute_force(spark):
     assert embeddings.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
-def test_shards_and_blocks_lose_no_links(spark):
+def near_pairs(vectors):
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.98, 1)))}
+
+
+def test_shards_and_copies_lose_no_links(spark):
     rng = np.random.default_rng(9)
     base = rng.normal(size=(40, 12))
     vectors = np.repeat(base, 6, axis=0) + rng.normal(size=(240, 12)) * 0.03
     rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
     nodes = embeddings.vector_nodes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
-    got = {tuple(r) for r in embeddings.vector_links(nodes, shard_rows=60, block_rows=50).collect()}
+    expected = near_pairs(vectors)
+    for sizes in ((60, 50), (60, 1_000), (1_000, 50), (3, 3)):  # of a shard, of a copy's queries
+        got = {tuple(r) for r in embeddings.vector_links(nodes, *sizes).collect()}
+        assert got <= expected and len(got) >= 0.98 * len(expected)
+
+
+def test_sparse_links_across_shards_are_all_found(spark):
+    rng = np.random.default_rng(10)
+    vectors = rng.normal(size=(900, 16))
+    vectors[::90] = vectors[7::90] + rng.normal(size=(10, 16)) * 0.02
+    rows = [(i, v.astype(np.float32).tolist(), "x") for i, v in enumerate(vectors)]
+    nodes = embeddings.vector_nodes(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string"))
+    expected = near_pairs(vectors.astype(np.float32).astype(float))
+    assert len(expected) == 10
+    assert {tuple(r) for r in embeddings.vector_links(nodes, shard_rows=300).collect()} == expected
+
+
+def test_an_audit_widens_the_beam_until_links_are_found():
+    rng = np.random.default_rng(11)
+    vectors = np.repeat(rng.normal(size=(30, 8)), 3, axis=0) + rng.normal(size=(90, 8)) * 0.01
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    expected = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.98, 1)))}
-    assert got <= expected and len(got) >= 0.98 * len(expected)
+    graph = embeddings.Graph.build(unit.astype(np.float32))
+    whole = embeddings.Searcher(graph, np.arange(90), unit)
+    both = near_pairs(vectors) | {(b, a) for a, b in near_pairs(vectors)}
+    assert set(whole.links(np.arange(90), unit)) == both and whole.seen == len(both)
+    assert whole.width < 180
+    graph.layers = [dict.fromkeys(range(90), [])]  # a graph that leads nowhere
+    broken = embeddings.Searcher(graph, np.arange(90), unit)
+    assert set(broken.links(np.arange(90), unit)) == both and broken.width >= 180
+    alone = embeddings.Searcher(graph, np.arange(90), unit)
+    assert alone.links(np.array([500]), -unit[:1]) == [] and alone.seen == 0  # nothing to judge by
+
+
+def test_a_graph_is_exchanged_once_for_all_queries(spark, monkeypatch):
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.random.default_rng(12).normal(size=(400, 8)))]
+    nodes = embeddings.vector_nodes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+
+    def arrivals(batches):  # a row per graph that a task receives, each of its own
+        import uuid
+
+        for batch in batches:
+            first = [int(np.frombuffer(data, np.int64)[0]) for data in batch["nodes"].dropna()]
+            yield pd.DataFrame({"a": first, "b": [1_000 + (uuid.uuid4().int >> 70) for _ in first]}, dtype=np.int64)
+
+    monkeypatch.setattr(embeddings, "_search", arrivals)
+    for copy_rows, copies in ((1_000, 1), (200, 2)):
+        got = [r.a for r in embeddings.vector_links(nodes, shard_rows=100, copy_rows=copy_rows).collect()]
+        assert len(set(got)) == 4 and len(got) == 4 * copies
 
 
 # --- the registered queries ---------------------------------------------------------------------

@@ -1,11 +1,13 @@
 """Near-duplicate embeddings by a small-world graph per shard.
 
 The vectors of a label are dealt to shards; each shard's vectors become one
-hierarchical navigable small-world graph. Blocks of query vectors search every shard
-of their label. A search ends when its beam holds the first vectors below the
-threshold; if a beam is full of links, or an audit against brute force misses too
-many, the beam is doubled and the search repeated. Every link's cosine is computed
-in double precision, and links are united to components.
+hierarchical navigable small-world graph. All vectors of the label search every shard:
+a task reads a graph once and then its queries in batches, and only a label of more than
+COPY_ROWS queries has further copies of its graphs. A search ends when its beam holds the
+first vectors below the threshold; if a beam is full of links, or an audit against brute
+force misses too many, the beam is doubled and the search repeated. An audit goes on until
+it has seen enough links to judge by; a vector is no link of its own. Every link's cosine
+is computed in double precision, and links are united to components.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import heapq
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,12 +27,15 @@ from tillroll.llm.components import components
 
 THRESHOLD = 0.98
 SHARD_ROWS = 16_384  # vectors of a graph, in expectation at most
-BLOCK_ROWS = 4_096  # queries of a task, in expectation at most
+COPY_ROWS = 1 << 20  # queries that share one copy of a graph, in expectation at most
 NEIGHBOURS = 12  # of a vector in the upper layers; twice as many in the lowest
 BUILD_BEAM = 40
 FIRST_BEAM = 24
-AUDITED = 48  # queries of each block that are also answered by brute force
-RECALL = 0.98  # share of their links that the search must find
+AUDITED = 48  # queries of each batch that are also answered by brute force
+LEAST_LINKS = 50  # that a graph's audits must have seen; until then all queries are audited
+AUDIT_ROWS = 128  # queries that brute force takes at once
+RECALL = 0.98  # share of the audited links that the search must find
+SLACK = 1e-5  # what single precision may be off
 
 
 class Graph:
@@ -179,8 +185,7 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     nodes = group["node"].to_numpy(dtype=np.int64)
     return pd.DataFrame(
         {
-            "label": group["label"].iloc[:1],
-            "width": group["width"].iloc[:1],
+            "family": group["family"].iloc[:1],
             "shard": group["shard"].iloc[:1],
             "graph": [graph.to_bytes()],
             "nodes": [nodes.tobytes()],
@@ -189,34 +194,79 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _search(key: tuple, graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    found: list[tuple[int, int]] = []
-    if len(graphs) and len(queries):
-        row = graphs.iloc[0]
-        graph = Graph.from_bytes(row["graph"])
-        nodes = np.frombuffer(row["nodes"], np.int64)
-        exact = np.frombuffer(row["exact"], np.float64).reshape(len(nodes), -1)
-        queries = queries.sort_values("node", ignore_index=True)
-        asked = queries["node"].to_numpy(dtype=np.int64)
-        vectors = _unit(_matrix(queries["vector"]))
+class Searcher:
+    """A graph, and the beam that its audits have asked for so far."""
+
+    def __init__(self, graph: Graph, nodes: np.ndarray, exact: np.ndarray) -> None:
+        self.graph = graph
+        self.nodes = nodes
+        self.exact = exact
+        self.width = FIRST_BEAM
+        self.seen = 0  # links of audited queries
+
+    def links(self, asked: np.ndarray, vectors: np.ndarray) -> list[tuple[int, int]]:
+        """Pairs of an asked node and another node of the graph that the search links with it."""
         single = vectors.astype(np.float32)
-        slack = THRESHOLD - 1e-5  # single precision may be that much off
-        audit = np.unique(np.linspace(0, len(asked) - 1, min(AUDITED, len(asked))).astype(int))
-        truth = {i: set(np.flatnonzero(exact @ vectors[i] >= THRESHOLD).tolist()) for i in audit}
-        width = FIRST_BEAM
-        while width < 2 * len(nodes):
-            missed = sum(len(truth[i].difference(graph.within(single[i], slack, width))) for i in audit)
-            if missed <= (1 - RECALL) * sum(map(len, truth.values())):
-                break
-            width *= 2
-        for i, q in enumerate(vectors):
-            if width < 2 * len(nodes):
-                near = np.array(graph.within(single[i], slack, width), dtype=np.int64)
-            else:  # no beam was wide enough, so this block is answered exactly
-                near = np.arange(len(nodes))
-            near = near[exact[near] @ q >= THRESHOLD]
-            found += [(int(asked[i]), int(j)) for j in nodes[near] if j != asked[i]]
-    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+        near = self._audit(asked, vectors, single)
+        found: list[tuple[int, int]] = []
+        for i, node in enumerate(asked.tolist()):
+            places = near[i] if i in near else self._near(vectors[i], single[i])
+            found += [(node, j) for j in self.nodes[places].tolist() if j != node]
+        return found
+
+    def _near(self, q: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """Places of the links of one vector, itself included where it is in the graph."""
+        if self.width < 2 * len(self.nodes):
+            places = np.array(self.graph.within(single, THRESHOLD - SLACK, self.width), dtype=np.int64)
+        else:  # no beam was wide enough, so this graph is answered exactly
+            places = np.arange(len(self.nodes))
+        return places[self.exact[places] @ q >= THRESHOLD]
+
+    def _audit(self, asked: np.ndarray, vectors: np.ndarray, single: np.ndarray) -> dict[int, np.ndarray]:
+        """Widens the beam until it finds what brute force finds; what it found for audited queries with links."""
+        if self.seen < LEAST_LINKS:
+            audited = np.arange(len(asked))
+        else:
+            audited = np.unique(np.linspace(0, len(asked) - 1, min(AUDITED, len(asked))).astype(int))
+        truth: dict[int, np.ndarray] = {}
+        for start in range(0, len(audited), AUDIT_ROWS):
+            rows = audited[start : start + AUDIT_ROWS]
+            which, places = np.nonzero(single[rows] @ self.graph.vectors.T >= THRESHOLD - SLACK)
+            of = rows[which]
+            linked = (np.einsum("ij,ij->i", vectors[of], self.exact[places]) >= THRESHOLD) & (asked[of] != self.nodes[places])
+            of, places = of[linked], places[linked]
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            truth.update(zip(of[starts].tolist(), np.split(places, starts[1:])))
+        links = sum(map(len, truth.values()))
+        self.seen += links
+        while True:
+            near = {i: self._near(vectors[i], single[i]) for i in truth}
+            missed = sum(len(np.setdiff1d(truth[i], near[i])) for i in truth)
+            if missed <= (1 - RECALL) * links or self.width >= 2 * len(self.nodes):
+                return near
+            self.width *= 2
+
+
+def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of the queries that follow each graph; rows come sorted by key, the graph before its queries."""
+    at, searcher = None, None
+    for batch in batches:
+        keys = batch[["family", "shard", "copy"]].to_numpy(dtype=np.int64)
+        graphs = batch["graph"].notna().to_numpy()
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1) | graphs[1:]])
+        for start, stop in zip(starts, np.r_[starts[1:], len(batch)]):
+            rows = batch.iloc[start:stop]
+            if graphs[start]:
+                row = rows.iloc[0]
+                nodes = np.frombuffer(row["nodes"], np.int64)
+                exact = np.frombuffer(row["exact"], np.float64).reshape(len(nodes), -1)
+                at, searcher = tuple(keys[start]), Searcher(Graph.from_bytes(row["graph"]), nodes, exact)
+                rows = rows.iloc[1:]
+            if not len(rows) or tuple(keys[start]) != at:  # a shard without vectors has no graph
+                continue
+            vectors = _unit(_matrix(rows["single"].where(rows["single"].notna(), rows["double"])))
+            found = searcher.links(rows["node"].to_numpy(dtype=np.int64), vectors)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
 def vector_nodes(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -241,29 +291,43 @@ def vector_nodes(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     )
 
 
-def vector_links(nodes: DataFrame, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """`a, b` with a < b: pairs of nodes of one label whose cosine is THRESHOLD or more."""
-    nodes = staged(nodes, "vector-nodes")
+def vector_links(nodes: DataFrame, shard_rows: int = SHARD_ROWS, copy_rows: int = COPY_ROWS) -> DataFrame:
+    """`a, b` with a < b: pairs of nodes of one label whose cosine is THRESHOLD or more.
+
+    A query travels to each shard of its label, a graph once for about `copy_rows` queries.
+    """
+    nodes = staged(nodes.select("label", "width", "vector", "node"), "vector-nodes")
     sizes = nodes.groupBy("label", "width").agg(F.count("*").alias("n"))
-    dealt = nodes.join(sizes, ["label", "width"]).withColumn("shards", F.ceil(F.col("n") / shard_rows))
+    # Staged, so that the numbers are the same whenever a task reads them.
+    families = staged(sizes.withColumn("family", F.monotonically_increasing_id()), "vector-families").select(
+        "label",
+        "width",
+        "family",
+        F.ceil(F.col("n") / shard_rows).alias("shards"),
+        F.ceil(F.col("n") / copy_rows).alias("copies"),
+    )
+    dealt = nodes.join(families, ["label", "width"])
     shard = F.pmod(F.xxhash64("node", F.lit("shard")), F.col("shards"))
-    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
-    keys = f"label {kinds['label']}, width int, shard long"
-    graphs = dealt.withColumn("shard", shard).select("label", "width", "shard", "node", "vector")
-    graphs = graphs.groupBy("label", "width", "shard").applyInPandas(_build, f"{keys}, graph binary, nodes binary, exact binary")
-    graphs = staged(graphs, "vector-graphs")
-    blocks = F.ceil(F.col("n") / block_rows)
+    built = dealt.select("family", shard.alias("shard"), "node", "vector").groupBy("family", "shard")
+    graphs = staged(
+        built.applyInPandas(_build, "family long, shard long, graph binary, nodes binary, exact binary"), "vector-graphs"
+    )
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    indexed = graphs.join(sizes, ["label", "width"]).withColumn("block", every(blocks)).drop("n")
-    block = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
-    asked = dealt.withColumn("block", block).withColumn("shard", every(F.col("shards")))
-    asked = asked.select(
-        F.col("label").alias("q_label"), F.col("width").alias("q_width"), F.col("shard").alias("q_shard"),
-        F.col("block").alias("q_block"), "node", "vector",
-    )
-    left = indexed.groupBy("label", "width", "shard", "block")
-    right = asked.groupBy("q_label", "q_width", "q_shard", "q_block")
-    found = left.cogroup(right).applyInPandas(_search, "a long, b long")
+    indexed = graphs.join(families.select("family", "copies"), "family").withColumn("copy", every(F.col("copies")))
+    single = F.col("vector").cast("array<float>")
+    lossless = single.cast("array<double>") == F.col("vector")
+    asked = dealt.select(
+        "family",
+        F.pmod(F.xxhash64("node", F.lit("copy")), F.col("copies")).alias("copy"),
+        "node",
+        F.when(lossless, single).alias("single"),
+        F.when(~lossless, F.col("vector")).alias("double"),
+        every(F.col("shards")).alias("shard"),
+    )
+    stream = indexed.drop("copies").unionByName(asked, allowMissingColumns=True).repartition("family", "shard", "copy")
+    # A graph has no node of its own, so it comes before its queries.
+    stream = stream.sortWithinPartitions("family", "shard", "copy", F.col("node").asc_nulls_first())
+    found = stream.mapInPandas(_search, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
