@@ -4,11 +4,13 @@ import json
 import math
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillroll.checks import views
+from tillroll.checks.queries import QUERIES
 from tillroll.operators import exact, layout
 from tillroll.plans import kept, retail
 from tillroll.plans.run_report import run_summary
@@ -210,3 +212,28 @@ def test_only_new_documents_are_read(spark, tmp_path):
     assert got == {"a": 8.0, "b": 2.0, "c": 3.0}
     whole = run_summary(documents.read_run_documents(spark, str(source)))
     assert sorted(map(str, whole.collect())) == sorted(map(str, read_summaries(spark, str(target)).collect()))
+
+
+def test_documents_that_arrive_share_files(spark, tmp_path):
+    """As many files as blocks of events in each delivery, however many documents they hold."""
+    n = F.col("id")
+    events = spark.range(3_000).select(
+        n.alias("event_id"),
+        F.timestamp_seconds(n).cast("timestamp_ntz").alias("ts"),
+        F.when(n % 11 != 0, n % 301).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        (n * 1.0).alias("value"),
+        F.lit('{"k": 1}').alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    earlier = set(arrived(spark))
+    got = QUERIES["run_summary_followed"](spark, str(tmp_path)).collect()
+    expected = QUERIES["run_summary"](spark, str(tmp_path)).filter("run_label is not null").collect()
+    assert len(got) > 800 and sorted(map(str, got)) == sorted(map(str, expected))
+    (folder,) = set(arrived(spark)) - earlier
+    named = [p for p in folder.rglob("*.json") if "_metrics.json" in p.parent.name]
+    assert len(named) <= 2 * 3
+
+
+def arrived(spark):
+    return Path(spark.conf.get("spark.checkpoint.dir")).glob("arriving-documents-*")

@@ -432,8 +432,9 @@ def run_summary_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = views.run_documents(spark, sf_dir).withColumn("delivery", F.pmod(F.xxhash64("file", "document_no"), F.lit(2)))
     for delivery in (1, 0):
         part = made.filter(F.col("delivery") == delivery).drop("delivery")
-        # a file per run and block, so that file and number order documents as in the view
-        named = part.withColumn("run", F.concat("file", F.lit("-"), "document_no", F.lit("_metrics.json"))).drop("file")
+        # a folder per block, by whose names documents of one run stand in the order of the view
+        block = F.format_string("%020d_metrics.json", "document_no")
+        named = part.withColumn("run", F.when(F.col("file").isNotNull() & F.col("document_no").isNotNull(), block)).drop("file")
         named.repartition("run").write.mode("append").partitionBy("run").json(path)
         run_summaries.update_summaries(spark, path, target, checkpoint, one_per_file=False)
     return run_summaries.read_summaries(spark, target, PREFERRED_USERS)
