@@ -131,3 +131,21 @@ def test_stores_that_only_spark_reads(spark, folder, monkeypatch):
     monkeypatch.setattr("tillroll.plans.ingest.opens", lambda path: False)
     through_spark = ingest_workbooks(spark, folder).drop("workbook")
     assert sorted(map(str, through_parts.collect())) == sorted(map(str, through_spark.collect()))
+
+
+@pytest.mark.parametrize("options", [{}, {"kinds": ["cell"], "sheets": ["first"], "columns": [0]}, {"kinds": ["style", "part"]}])
+def test_the_driver_opens_a_bounded_number_of_containers(folder, monkeypatch, options):
+    monkeypatch.setattr(workbook_source, "_batch", lambda records, schema: sorted(map(str, records)))
+    opened, open_units = [], WorkbookReader._units
+    monkeypatch.setattr(WorkbookReader, "_units", lambda self, files, uri, place: opened.append(uri) or open_units(self, files, uri, place))
+
+    def records():
+        opened.clear()
+        reader = WorkbookReader({"path": folder, **{k: json.dumps(v) for k, v in options.items()}})
+        planned = reader.partitions()
+        return sorted(r for p in planned for batch in reader.read(p) for r in batch), len(opened)
+
+    every, count = records()
+    assert count == 3
+    monkeypatch.setattr(workbook_source, "OPENED", 1)
+    assert records() == (every, 1) and "book 2.xlsx" in opened[0]  # the largest

@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Collection, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import chain
 from zipfile import ZipFile
 
 import pyarrow as pa
@@ -35,12 +36,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillroll.schemas import WORKBOOK_RECORD
 from tillroll.sources import workbooks
+from tillroll.sources.staging import staged
 
 NAME = "workbook"
 #: A task reads parts of together so many bytes, unpacked, or one part. 0: a task per part.
 PARTITION_BYTES = 16 << 20
 _BATCH = 10_000
 _LISTERS = 16  # containers whose directories are read at a time
+#: Containers that are opened to plan a scan, the largest; of more, the others are read whole by the tasks.
+OPENED = 1_000
+_PACKED = 4  # a container's bytes count so often as what they hold
+_LIST_BYTES = 64 << 10  # what a container counts for of which no sheet is read
 _BUFFER = 1 << 20
 _ENDLESS = 1 << 62
 _KINDS = ("cell", "string", "format", "style", "sheet", "relation", "part")
@@ -78,20 +84,10 @@ def scan_workbooks(
 
 
 def scan_tables(spark: SparkSession, path: str) -> workbooks.WorkbookTables:
-    """The tables of workbooks, each a scan of its own parts."""
-
-    def of(*kinds: str) -> workbooks.WorkbookTables:
-        return workbooks.split_records(scan_workbooks(spark, path, kinds))
-
-    return workbooks.WorkbookTables(
-        cells=of("cell").cells,
-        string_runs=of("string").string_runs,
-        formats=of("format").formats,
-        styles=of("style").styles,
-        sheets=of("sheet").sheets,
-        relations=of("relation").relations,
-        parts=of("part").parts,
-    )
+    """The tables of workbooks: cells by a scan of their parts, the others from one pass, which is staged."""
+    others = staged(scan_workbooks(spark, path, [k for k in _KINDS if k != "cell"]), "workbook-lists", "kind")
+    cells = workbooks.split_records(scan_workbooks(spark, path, ["cell"])).cells
+    return workbooks.split_records(others)._replace(cells=cells)
 
 
 def write_files(files: DataFrame, folder: str) -> None:
@@ -111,11 +107,11 @@ def opens(path: str) -> bool:
 
 @dataclass
 class Unit:
-    """What is read at once: one part, the short parts of a workbook, or its directory alone."""
+    """What is read at once: one part, the short parts of a workbook, its directory alone, or all that is wanted of it."""
 
     uri: str  # below the path that was asked for
     place: str  # in its file system
-    what: str  # "sheet", "strings", "lists", "directory"
+    what: str  # "sheet", "strings", "lists", "directory", "workbook"
     part: str | None
     sheet: str | None
     size: int
@@ -147,6 +143,24 @@ def _open(files: pyarrow.fs.FileSystem, place: str) -> io.BufferedReader:
     return io.BufferedReader(files.open_input_file(place), _BUFFER)
 
 
+def _listed(path: str) -> tuple[pyarrow.fs.FileSystem, str, list[pyarrow.fs.FileInfo]]:
+    """The workbooks at a path, and what their places lack to be URIs."""
+    files, root = pyarrow.fs.FileSystem.from_uri(path)
+    found = files.get_file_info(root)
+    if found.type == pyarrow.fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if found.is_file:
+        listed = [found]
+    else:
+        listed = [f for f in files.get_file_info(pyarrow.fs.FileSelector(root)) if f.is_file and f.path.endswith(".xlsx")]
+    return files, path[: path.rindex(root)] if path.endswith(root) else "", listed
+
+
+def tasks_for(path: str, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Into how many tasks work on all of what the workbooks at a path hold should go."""
+    return 1 + _PACKED * sum(f.size for f in _listed(path)[2]) // partition_bytes
+
+
 class WorkbookReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.path = options["path"]
@@ -158,19 +172,19 @@ class WorkbookReader(DataSourceReader):
         self.last_row = int(options.get("lastrow", options.get("lastRow", _ENDLESS)))
 
     def partitions(self) -> list[Parts]:
-        """The wanted parts of all workbooks, small ones together."""
-        files, root = pyarrow.fs.FileSystem.from_uri(self.path)
-        found = files.get_file_info(root)
-        if found.type == pyarrow.fs.FileType.NotFound:
-            raise FileNotFoundError(self.path)
-        if found.is_file:
-            listed = [found]
-        else:
-            listed = [f for f in files.get_file_info(pyarrow.fs.FileSelector(root)) if f.is_file and f.path.endswith(".xlsx")]
-        stem = self.path[: self.path.rindex(root)] if self.path.endswith(root) else ""
+        """The wanted parts of all workbooks, small ones together.
+
+        The part of the work that the driver does is bounded: where there are more than
+        `OPENED` containers, only the largest are opened here, to spread their parts; a task
+        finds the parts of the others by itself. `partitionBytes` 0 asks for every part.
+        """
+        files, stem, listed = _listed(self.path)
+        by_size = sorted(listed, key=lambda f: (-f.size, f.path))
+        whole = {f.path: f.size for f in by_size[OPENED:]} if self.partition_bytes else {}
         named = sorted((stem + f.path, f.path) for f in listed)
         with ThreadPoolExecutor(_LISTERS) as pool:
-            units = [u for own in pool.map(lambda f: self._units(files, *f), named) for u in own]
+            opened = pool.map(lambda f: self._units(files, *f), [f for f in named if f[1] not in whole])
+            units = [u for f in named for u in ([self._whole(*f, whole[f[1]])] if f[1] in whole else next(opened))]
         packed: list[Parts] = []
         size = 0
         for unit in units:
@@ -181,10 +195,17 @@ class WorkbookReader(DataSourceReader):
             size += max(unit.size, 1)
         return packed or [Parts([])]
 
+    def _whole(self, uri: str, place: str, size: int) -> Unit:
+        content = self.kinds & {"cell", "string"} and (self.sheets is None or self.sheets)
+        return Unit(uri, place, "workbook", None, None, _PACKED * size if content else min(size, _LIST_BYTES))
+
     def _units(self, files: pyarrow.fs.FileSystem, uri: str, place: str) -> list[Unit]:
         with _open(files, place) as stream, ZipFile(stream) as container:
-            sizes = {m.filename: m.file_size for m in container.infolist()}
-            names = workbooks.sheet_names(container)
+            return self._units_of(container, uri, place)
+
+    def _units_of(self, container: ZipFile, uri: str, place: str) -> list[Unit]:
+        sizes = {m.filename: m.file_size for m in container.infolist()}
+        names = workbooks.sheet_names(container)
         units = []
         if self.kinds & {"format", "style", "sheet", "relation"}:
             units.append(Unit(uri, place, "lists", None, None, sum(sizes.get(p, 0) for p in workbooks.LISTS)))
@@ -203,9 +224,11 @@ class WorkbookReader(DataSourceReader):
         pending: list[dict] = []
         for unit in partition.units:
             with _open(files, unit.place) as stream, ZipFile(stream) as container:
-                for record in self._records(container, unit):
+                own = self._units_of(container, unit.uri, unit.place) if unit.what == "workbook" else [unit]
+                for record in chain.from_iterable(self._records(container, u) for u in own):
                     if record["kind"] in self.kinds:
-                        pending.append(record | {"workbook": unit.uri})
+                        record["workbook"] = unit.uri
+                        pending.append(record)
                     if len(pending) == _BATCH:
                         yield _batch(pending, SCAN)
                         pending = []
@@ -228,9 +251,10 @@ class WorkbookReader(DataSourceReader):
             for record in workbooks.sheet_cells(stream, unit.part):
                 if record["row_no"] > self.last_row:
                     return  # the rest of the part is not even unpacked
-                col = workbooks.column_of(record["ref"]) if record.get("ref") else None
+                col = workbooks.column_of(record["ref"].rstrip("0123456789")) if record.get("ref") else None
                 if self.columns is None or col in self.columns:
-                    yield record | {"sheet": unit.sheet, "col": col}
+                    record["sheet"], record["col"] = unit.sheet, col
+                    yield record
 
 
 def _batch(records: list[dict], schema: T.StructType) -> pa.RecordBatch:
