@@ -65,3 +65,28 @@ def test_unpacking_again_changes_nothing(spark, folder, tmp_path):
     once = cells_of(read_sheet_cells(spark, target))
     assert unpack_sheets(spark, folder, target).orderBy("file").collect() == first
     assert cells_of(read_sheet_cells(spark, target)) == once
+
+
+def test_small_sheets_share_files(spark, tmp_path):
+    source, target = tmp_path / "books", str(tmp_path / "unpacked")
+    source.mkdir()
+    rows = [[c(f"A{n}", n)] for n in range(1, 9)]
+    for n in range(40):
+        write_book(source / f"book {n}.xlsx", {"a": sheet(*rows[: n % 8 + 1]), "b": sheet([c("A1", n)]), "c": sheet([], [])})
+    written = unpack_sheets(spark, str(source), target).collect()
+    assert len(written) == len({r["file"] for r in written}) == 120
+    assert len(list((tmp_path / "unpacked").rglob("*.parquet"))) < 40 and not list((tmp_path / "unpacked").rglob("*.xml"))
+    assert cells_of(read_sheet_cells(spark, target)) == cells_of(split_records(scan_workbooks(spark, str(source))).cells)
+
+
+def test_sheets_that_change_their_size(spark, tmp_path):
+    """From the table to a file of its own and back: the last sheet is read, others stay."""
+    source, target = tmp_path / "books", str(tmp_path / "unpacked")
+    source.mkdir()
+    write_book(source / "kept.xlsx", {"a": sheet([c("A1", 1)])})
+    for length in (1, 200, 2):
+        write_book(source / "changed.xlsx", {"a": sheet(*[[c(f"A{n}", n)] for n in range(1, length + 1)])})
+        only = source / "changed.xlsx" if length == 200 else source
+        unpack_sheets(spark, str(only), target, small=2_000)
+        assert len(list((tmp_path / "unpacked").rglob("*.xml"))) == (length == 200)
+        assert cells_of(read_sheet_cells(spark, target)) == cells_of(split_records(scan_workbooks(spark, str(source))).cells)
