@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import near_duplicates, packing, pii, quality, toxicity
 from tillroll.llm.common import read_table, staged
-from tillroll.llm.queries import pii_key, tokenizer_path
+from tillroll.llm.queries import surrogate_key, tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Every row stays, repeated ones too; null and empty texts stay what they are.
     """
-    return pii.replace_in_rows(docs, pii_key(spark))
+    return pii.replace_in_rows(docs, surrogate_key(spark))
 
 
 #: Words that a packing worker of the pipeline remembers within a task; there it follows four other stages.

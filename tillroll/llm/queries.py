@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,16 +61,42 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
-def pii_key(spark: SparkSession) -> bytes:
-    """The secret of the surrogates, from the session. On one machine, for trials, there is a public default."""
+def _named_key(spark: SparkSession) -> bytes | None:
     key = spark.conf.get("spark.tillroll.surrogateKey", None)
     if not key and not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.tillroll.surrogateKey: surrogates under a public key can be undone")
+        return None
     return (key or "set spark.tillroll.surrogateKey").encode()
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret of the surrogates, from the session. On one machine, for trials, there is a public default."""
+    key = _named_key(spark)
+    if key is None:
+        raise RuntimeError("set spark.tillroll.surrogateKey: surrogates under a public key can be undone")
+    return key
+
+
+_drawn_keys: dict[str, bytes] = {}
+
+
+def surrogate_key(spark: SparkSession) -> bytes:
+    """`pii_key`, or on a cluster without one a key that is drawn at random for this application.
+
+    Its queries and tasks, also those that run again, share the drawn key. It is kept nowhere,
+    so nobody can undo the surrogates, and another application gives others.
+    """
+    key = _named_key(spark)
+    if key is not None:
+        return key
+    application = spark.sparkContext.applicationId
+    if application not in _drawn_keys:
+        warnings.warn("surrogates hold within this application only; set spark.tillroll.surrogateKey for others to share them", stacklevel=2)
+        _drawn_keys[application] = secrets.token_bytes(32)
+    return _drawn_keys[application]
+
+
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_personal_data(read_table(spark, sf_dir, "documents"), pii_key(spark))
+    return pii.replace_personal_data(read_table(spark, sf_dir, "documents"), surrogate_key(spark))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
