@@ -350,6 +350,49 @@ def test_collision_check_counts_entities_once(spark):
     assert [(m.n, m.least, m.largest) for m in met] == [(2, "e1", "e2")]
 
 
+LONG_SECRETS = ["aB3x" * 1_500, "aB3x" * 1_499 + "aB3y", "b" + "aB3x" * 1_499 + "B3x", "hunter" * 60, "hunter" * 59 + "huntes"]
+
+
+def test_entities_of_any_length_are_replaced(spark):
+    """Beyond 4,300 digits Python writes no whole number; of more than 1,024 bits one hash changes only a part."""
+    given = [f"password={s}" for s in LONG_SECRETS] + ["key sk-" + "a1" * 3_000, "at x@" + "abcdefgh." * 600 + "com", "Dr " + "Пе" * 3_000]
+    rows = [(i, f"{t} and {t} end") for i, t in enumerate(given)]
+    got = [r.text for r in pii.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), KEY).orderBy("doc_id").collect()]
+    for (_, old), new in zip(rows, got):
+        own = max(old.split(), key=len).removeprefix("password=").removeprefix("sk-")
+        others = max(new.split(), key=len).removeprefix("password=").removeprefix("sk-").removesuffix(".example")
+        assert len(own) == len(others) and new.count(others) == old.count(own) == 2 and new.endswith(" end")
+        letters = [(a, b) for a, b in zip(own, others) if a.isalnum()]
+        assert max(sum(a == b for a, b in letters[k : k + 60]) for k in range(0, len(letters) - 60, 60)) < 40
+        assert all((a.isdigit(), a.isupper()) == (b.isdigit(), b.isupper()) for a, b in letters)
+    assert len(set(got)) == len(rows)
+
+
+def test_long_permutation_moves_everything():
+    given = [(a, b, c, d) for a in range(2) for b in range(5) for c in range(3) for d in range(4)]
+    image = [tuple(pii.permute_places(KEY, "form", list(x), [2, 5, 3, 4])) for x in given]
+    assert sorted(image) == given
+    assert all(x != y for x, y in zip(given, image))
+
+
+def test_numbers_in_digits_of_other_scripts():
+    arabic = str.maketrans("0123456789", "٠١٢٣٤٥٦٧٨٩")
+    for own in ("4111 1111 1111 1111", "4111111111111111", "(021) 555 1234", "123-45-6789"):
+        plain = new_text(f"no 7: {own} here")
+        assert own not in plain and new_text(f"no 7: {own.translate(arabic)} here") == "no 7: " + plain[6:-5].translate(arabic) + " here"
+
+
+def test_a_hashed_surrogate_that_meets_a_permuted_one_moves(spark, monkeypatch):
+    """Only the hashed of two entities can take another surrogate, also where it is the smaller one."""
+
+    def entities(docs, key, attempts={}, text="text", hashed_only=False):  # noqa: B006
+        rows = [("name", "hashed", "Same" + "e" * attempts.get("hashed", 0)), ("name", "permuted", "Same")]
+        return spark.createDataFrame(rows[:1] if hashed_only else rows, "kind string, entity string, surrogate string")
+
+    monkeypatch.setattr(pii, "entities", entities)
+    assert pii.distinct_attempts(None, KEY)["hashed"] == 1
+
+
 def test_personal_data_edges(edge_documents, no_documents):
     got = pii.replace_in_rows(edge_documents, KEY)
     assert got.columns == edge_documents.columns

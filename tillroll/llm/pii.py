@@ -18,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import slices_by_bytes
 
 ROUNDS = 8  # of the permutation
+WIDEST = 1 << 1024  # strings of a form that are permuted as one number; its halves are then no wider than a hash
 MOST_ATTEMPTS = 20
 SHORT_KEY_BYTES = 16
 
@@ -139,10 +141,13 @@ def _octets(text: str) -> bool:
     return all(int(part) < 256 for part in text.split("."))
 
 
+_SEPARATED = ("phone", "card", "ssn", "iban")  # kinds that may be written with other separators, or digits of another script
+
+
 def _plain(kind: str, text: str) -> str:
     """What the entity is, whatever separators and letter case it is written with."""
-    if kind in ("phone", "card", "ssn", "iban"):
-        return re.sub(r"[^0-9A-Za-z]", "", text)
+    if kind in _SEPARATED:
+        return re.sub(r"[^0-9A-Za-z]", "", re.sub(r"\d", lambda m: str(int(m[0])), text))  # digits of any script
     if kind == "email":
         return text.lower()
     if kind == "ip":
@@ -212,6 +217,34 @@ def permute(key: bytes, form: str, x: int, size: int) -> int:
     return _steps(key, form, (_steps(key, form, x, size, False) + shift) % size, size, True)
 
 
+def _drawn(key: bytes, sizes: np.ndarray, *parts: bytes) -> np.ndarray:
+    """A number below each size, from a hash of the parts."""
+    seed = hashlib.blake2b(b"\x1f".join(parts), key=key).digest()
+    return np.frombuffer(hashlib.shake_256(seed).digest(4 * len(sizes)), dtype="<u4") % sizes
+
+
+def permute_places(key: bytes, form: str, places: list[int], sizes: list[int]) -> list[int]:
+    """`permute` for strings too long to be one number: a number below each size, never all as before.
+
+    Every new number depends on all the given ones, and the work is in proportion to the length.
+    """
+    size, x = np.array(sizes, dtype=np.int64), np.array(places, dtype=np.int64)
+    name = hashlib.blake2b(form.encode(), key=key).digest()
+    left, right = slice(0, len(x) // 2), slice(len(x) // 2, None)
+
+    def steps(x: np.ndarray, back: bool) -> np.ndarray:
+        x = x.copy()
+        for i in range(ROUNDS)[:: -1 if back else 1]:
+            turned, by = (left, right) if i % 2 else (right, left)
+            turn = _drawn(key, size[turned], name, bytes([i]), x[by].astype(np.uint8).tobytes())
+            x[turned] = (x[turned] + (-turn if back else turn)) % size[turned]
+        return x
+
+    shift = _drawn(key, size, name)
+    shift[0] = 1 + shift[0] % (size[0] - 1)
+    return steps((steps(x, False) + shift) % size, True).tolist()
+
+
 def _permuted(
     key: bytes | None, kind: str, text: str, classes: dict[str, str], fixed: set[int] = frozenset(), leading: set[int] = frozenset()
 ) -> str | None:
@@ -229,12 +262,20 @@ def _permuted(
         if own:
             x = x * len(own) + own.index(c)
             size *= len(own)
+            if size > WIDEST:
+                break
     if size < 2:
         return None
     if key is None:
         return text  # there is something to permute
-    x = permute(key, form, x, size)
     out = list(text)
+    if size > WIDEST:
+        at = [i for i, own in enumerate(owns) if own]
+        new = permute_places(key, form, [owns[i].index(text[i]) for i in at], [len(owns[i]) for i in at])
+        for i, place in zip(at, new):
+            out[i] = owns[i][place]
+        return "".join(out)
+    x = permute(key, form, x, size)
     for i in range(len(text) - 1, -1, -1):
         if owns[i]:
             x, place = divmod(x, len(owns[i]))
@@ -299,10 +340,15 @@ def surrogate(kind: str, text: str, key: bytes, attempts: dict[str, int] = {}) -
         return _hashed(kind, plain, key, attempts.get(_digest(kind, plain, key), 0))
     if kind == "email":
         return "".join(n.upper() if o.isupper() else n for o, n in zip(text, new)) + new[len(text) :]
-    if kind in _RANGES or len(new) == len(text):
+    if kind in _RANGES or len(new) == len(text) and (text.isascii() or kind not in _SEPARATED):
         return new
     rest = iter(new)
-    return "".join(next(rest) if c.isascii() and c.isalnum() else c for c in text)
+    return "".join(_written(next(rest), c) if c.isdecimal() or c.isascii() and c.isalnum() else c for c in text)
+
+
+def _written(new: str, old: str) -> str:
+    """A digit in the script of the one that it replaces; anything else as it is."""
+    return new if old.isascii() else chr(ord(old) - int(old) + int(new))
 
 
 def _digest(kind: str, plain: str, key: bytes) -> str:
@@ -360,7 +406,8 @@ def distinct_attempts(docs: DataFrame, key: bytes, text: str = "text") -> dict[s
         if not met:
             return attempts
         for row in met:
-            attempts[row["largest"]] = attempts.get(row["largest"], 0) + 1
+            tried = {e: attempts.get(e, 0) for e in (row["largest"], row["least"])}
+            attempts[min(tried, key=tried.get)] = min(tried.values()) + 1  # a permuted one can't move; then the other does
     raise RuntimeError("surrogates still meet; use another key")
 
 
